@@ -59,7 +59,7 @@ def constant_column_table(df: DataFrame, columns: Sequence[str], threshold: floa
         F.explode(
             F.array(
                 *[
-                    F.struct(F.lit(c).alias("column"), F.col(f"m__{c}").alias("mean"), F.col(f"s__{c}").alias("std"))
+                    F.struct(F.lit(c).alias("column_name"), F.col(f"m__{c}").alias("mean"), F.col(f"s__{c}").alias("std"))
                     for c in columns
                 ]
             )
@@ -67,15 +67,15 @@ def constant_column_table(df: DataFrame, columns: Sequence[str], threshold: floa
     ).select("s.*")
     cv = F.when(F.col("mean") != 0, F.col("std") / F.abs(F.col("mean")))
     dropped = (F.col("std") == 0) | (cv < F.lit(threshold))
-    return long.select("column", "mean", "std", cv.alias("cv"), F.coalesce(dropped, F.lit(False)).alias("dropped"))
+    return long.select("column_name", "mean", "std", cv.alias("cv"), F.coalesce(dropped, F.lit(False)).alias("dropped"))
 
 
 def drop_constant_columns(df: DataFrame, columns: Sequence[str], threshold: float = 0.01) -> tuple[DataFrame, list[str]]:
     """Returns (df without constant columns, dropped names).  The decision is
     a tiny one-row-per-column table collected once so it can be stored with the
     fitted pipeline and re-applied to other data."""
-    decision = constant_column_table(df, columns, threshold).filter("dropped").select("column").collect()
-    dropped = [r_["column"] for r_ in decision]
+    decision = constant_column_table(df, columns, threshold).filter("dropped").select("column_name").collect()
+    dropped = [r_["column_name"] for r_ in decision]
     return df.drop(*dropped), dropped
 
 

@@ -6,7 +6,7 @@ import importlib
 
 from .registry import REGISTRY
 
-MODULES = ["q_features"]
+MODULES = ["q_features", "q_profile"]
 
 
 def _load() -> None:
