@@ -86,23 +86,29 @@ def drop_all_null_columns(df: DataFrame) -> DataFrame:
 
 
 def dataset_info(train: DataFrame, test: DataFrame | None = None, rul: DataFrame | None = None) -> DataFrame:
-    """Samples, distinct units, max cycle (train / test); RUL min / max / mean."""
-    t = train.agg(
-        F.count(F.lit(1)).alias("train_samples"),
-        F.countDistinct("unit_id").alias("train_units"),
-        F.max("time_cycle").alias("train_max_cycle"),
-    )
+    """Samples, distinct units, max cycle (train / test); RUL min / max / mean.
+
+    The inputs are tagged and unioned, then ONE conditional aggregate computes
+    every figure (no joins between one-row results)."""
+    parts = [train.select(F.lit("train").alias("_src"), "unit_id", "time_cycle", F.lit(None).cast("int").alias("rul"))]
     if test is not None:
-        t = t.crossJoin(
-            test.agg(
-                F.count(F.lit(1)).alias("test_samples"),
-                F.countDistinct("unit_id").alias("test_units"),
-                F.max("time_cycle").alias("test_max_cycle"),
-            )
-        )
+        parts.append(test.select(F.lit("test").alias("_src"), "unit_id", "time_cycle", F.lit(None).cast("int").alias("rul")))
     if rul is not None:
-        t = t.crossJoin(rul.agg(F.min("rul").alias("rul_min"), F.max("rul").alias("rul_max"), F.avg("rul").alias("rul_mean")))
-    return t
+        parts.append(rul.select(F.lit("rul").alias("_src"), "unit_id", F.lit(None).cast("int").alias("time_cycle"), "rul"))
+    u = parts[0]
+    for p_ in parts[1:]:
+        u = u.unionByName(p_)
+    aggs = []
+    for src in ["train"] + (["test"] if test is not None else []):
+        is_ = F.col("_src") == src
+        aggs += [
+            F.count(F.when(is_, 1)).alias(f"{src}_samples"),
+            F.countDistinct(F.when(is_, F.col("unit_id"))).alias(f"{src}_units"),
+            F.max(F.when(is_, F.col("time_cycle"))).alias(f"{src}_max_cycle"),
+        ]
+    if rul is not None:
+        aggs += [F.min("rul").alias("rul_min"), F.max("rul").alias("rul_max"), F.avg("rul").alias("rul_mean")]
+    return u.agg(*aggs)
 
 
 def ingest_stats(df: DataFrame, label: str = "RUL") -> DataFrame:
@@ -180,26 +186,26 @@ def drop_non_features(df: DataFrame, cols: Sequence[str] = ("unit_id", "time_cyc
 
 
 def trajectory_report(df: DataFrame, unit: str = "unit_id", order: str = "time_cycle") -> DataFrame:
-    """One conditional-aggregate pass -> (rows, null keys, non-positive keys,
-    units, dense units, ok).  Dense = cycles are exactly 1..n per unit."""
+    """(rows, null keys, non-positive keys, units, dense units, ok).
+
+    One aggregate per unit (partial aggregation on the map side), then one
+    global aggregate over the per-unit rows.  Dense = cycles are exactly 1..n.
+    """
     per_unit = df.groupBy(unit).agg(
         F.count(F.lit(1)).alias("n"),
         F.countDistinct(order).alias("nd"),
         F.max(order).alias("mx"),
         F.min(order).alias("mn"),
+        F.count_if(F.col(unit).isNull() | F.col(order).isNull()).alias("nk"),
+        F.count_if((F.col(unit) <= 0) | (F.col(order) <= 0)).alias("np"),
     )
-    core = df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sum(F.when(F.col(unit).isNull() | F.col(order).isNull(), 1).otherwise(0)).cast("bigint").alias("null_keys"),
-        F.sum(F.when((F.col(unit) <= 0) | (F.col(order) <= 0), 1).otherwise(0)).cast("bigint").alias("nonpositive_keys"),
-    )
-    dense = per_unit.agg(
+    out = per_unit.agg(
+        F.sum("n").cast("bigint").alias("n_rows"),
+        F.sum("nk").cast("bigint").alias("null_keys"),
+        F.sum("np").cast("bigint").alias("nonpositive_keys"),
         F.count(F.lit(1)).alias("n_units"),
-        F.sum(F.when((F.col("n") == F.col("nd")) & (F.col("mx") == F.col("n")) & (F.col("mn") == 1), 1).otherwise(0))
-        .cast("bigint")
-        .alias("dense_units"),
+        F.count_if((F.col("n") == F.col("nd")) & (F.col("mx") == F.col("n")) & (F.col("mn") == 1)).cast("bigint").alias("dense_units"),
     )
-    out = core.crossJoin(dense)
     ok = (F.col("n_rows") > 0) & (F.col("null_keys") == 0) & (F.col("nonpositive_keys") == 0)
     return out.withColumn("ok", ok)
 

@@ -6,7 +6,7 @@ import importlib
 
 from .registry import REGISTRY
 
-MODULES = ["q_features", "q_profile"]
+MODULES = ["q_features", "q_profile", "q_ensemble"]
 
 
 def _load() -> None:

@@ -41,11 +41,13 @@ def telemetry_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     row_number and any later per-unit window share one exchange.
     """
     li = table(spark, sf_dir, "lineitem").select(
-        "l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", *LINEITEM_CHANNELS
+        F.col("l_suppkey").cast("int").alias("unit_id"),
+        "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", *LINEITEM_CHANNELS,
     )
-    w = Window.partitionBy("l_suppkey").orderBy("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey")
+    # partition by the derived key itself so later per-unit windows reuse this exchange
+    w = Window.partitionBy("unit_id").orderBy("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey")
     return li.select(
-        F.col("l_suppkey").cast("int").alias("unit_id"),
+        "unit_id",
         F.row_number().over(w).alias("time_cycle"),
         *LINEITEM_CHANNELS,
         "l_shipdate",
@@ -54,10 +56,12 @@ def telemetry_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def telemetry_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(unit_id int, time_cycle int, ts, event_type, value)."""
-    ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    ev = table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("int").alias("unit_id"), "ts", "event_id", "event_type", "value"
+    )
+    w = Window.partitionBy("unit_id").orderBy("ts", "event_id")
     return ev.select(
-        F.col("user_id").cast("int").alias("unit_id"),
+        "unit_id",
         F.row_number().over(w).alias("time_cycle"),
         "ts",
         "event_type",
@@ -99,3 +103,39 @@ def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").cast("int").alias("unit_id"),
         F.col("value").alias("rul"),
     )
+
+
+def scored_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scored-request stream: per event, the forecast = mean of the same user's
+    previous 5 values, the actual = the value; keyed by model_type.
+
+    (model_type, ts, request_id, side, prediction, actual); events without
+    history (first per user) carry no prediction and are left out.
+    """
+    ev = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(-5, -1)
+    out = ev.select(
+        model_type_expr(k).alias("model_type"),
+        "ts",
+        F.col("event_id").alias("request_id"),
+        F.when(F.col("ts") < F.lit(DRIFT_SPLIT_TS).cast("timestamp_ntz"), F.lit("ref")).otherwise(F.lit("cur")).alias("side"),
+        F.avg("value").over(w).alias("prediction"),
+        F.col("value").alias("actual"),
+    )
+    return out.filter(F.col("prediction").isNotNull())
+
+
+def member_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deterministic ensemble members over ``telemetry_events``: y = value;
+    forest = previous value; boosted = mean of the previous 5 (from cycle 6);
+    sequence = mean of the previous 20 (from cycle 21).  Missing = null."""
+    t = telemetry_events(spark, sf_dir)
+    w = Window.partitionBy("unit_id").orderBy("time_cycle")
+    return t.select(
+        "unit_id", "time_cycle", "ts",
+        F.col("value").alias("y"),
+        F.lag("value", 1).over(w).alias("forest"),
+        F.when(F.col("time_cycle") > 5, F.avg("value").over(w.rowsBetween(-5, -1))).alias("boosted"),
+        F.when(F.col("time_cycle") > 20, F.avg("value").over(w.rowsBetween(-20, -1))).alias("sequence"),
+    )
