@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import LIBRARY_LAGS, LIBRARY_WINDOWS, MAX_RUL, NON_FEATURE_COLS
-from . import labels, profile, windows
+from . import labels, profiling as profile, windows
 
 
 class NotFittedError(RuntimeError):

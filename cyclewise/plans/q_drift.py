@@ -189,7 +189,8 @@ def q_d8(spark, sf_dir):
     return present(_baseline(spark, sf_dir), 4)
 
 
-HOUR = F.date_trunc("hour", F.col("ts"))
+def _hour():
+    return F.date_trunc("hour", F.col("ts"))
 
 CONCEPT_CTE = [
     SCORED,
@@ -206,7 +207,7 @@ TREND = "CASE WHEN inc > 0.1 THEN 'increasing' WHEN inc < -0.1 THEN 'decreasing'
 
 
 def _concept(spark, sf_dir):
-    return drift.concept_drift(_scored(spark, sf_dir), ["model_type"], ["ts", "request_id"], HOUR, _baseline(spark, sf_dir))
+    return drift.concept_drift(_scored(spark, sf_dir), ["model_type"], ["ts", "request_id"], _hour(), _baseline(spark, sf_dir))
 
 
 def _day_end(df, keys):
@@ -250,7 +251,7 @@ def _ph(spark, sf_dir, keys):
         "model_type", "ts", "request_id", F.abs(F.col("prediction") - F.col("actual")).alias("x"),
         F.when(F.col("side") == "ref", 0).otherwise(1).alias("epoch"),
     )
-    ph = drift.page_hinkley(s, keys, ["ts", "request_id"], HOUR, "x")
+    ph = drift.page_hinkley(s, keys, ["ts", "request_id"], _hour(), "x")
     d = _day_end(ph, keys)
     return d.select(*keys, F.date_format("ts", "yyyy-MM-dd").alias("day"), F.round("ph_stat", 2).alias("ph_stat"), F.round("ph_mean", 4).alias("ph_mean"))
 

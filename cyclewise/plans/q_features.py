@@ -223,7 +223,7 @@ def q_w9(spark, sf_dir):
     + "SELECT unit_id, time_cycle, value FROM telemetry_events WHERE time_cycle <= 15",
 )
 def q_p9(spark, sf_dir):
-    from ..operators import profile
+    from ..operators import profiling as profile
 
     t = tables.telemetry_events(spark, sf_dir).select("unit_id", "time_cycle", "value")
     return profile.head_per_unit(t, 15)

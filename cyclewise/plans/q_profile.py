@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import labels, profile, scaling, windows
+from ..operators import labels, profiling as profile, scaling, windows
 from ..sources import tables
 from .q_features import RUL_SQL, feature_sql
 from .registry import present, r, register
