@@ -241,7 +241,7 @@ def q_o14(spark, sf_dir):
 @register(
     "o15_volume_scale_up",
     with_(PREDICTION_LOG, *_fan("count(*) AS n, sum(latency_s) AS lat", "model_type", "CAST(sum(n) AS BIGINT) AS n, sum(lat) AS lat"))
-    + f"""SELECT model_type, {ts_sql('st * 30')} AS window_start, {r('n / 300.0')} AS rate, {r('lat / n', 9)} AS mean_latency,
+    + f"""SELECT model_type, {ts_sql('st * 30')} AS window_start, {r('n / 300.0', 9)} AS rate, {r('lat / n', 9)} AS mean_latency,
   n / 300.0 > 100 AS high_volume, lat / n > 0.3 AND n / 300.0 > 50 AS scale_up FROM w""",
 )
 def q_o15(spark, sf_dir):
@@ -249,7 +249,7 @@ def q_o15(spark, sf_dir):
     rate = F.col("n") / 300.0
     ml = F.col("sum_latency_s") / F.col("n")
     return present(c.select("model_type", fmt(F.col("window_start")).alias("window_start"), rate.alias("rate"), F.round(ml, 9).alias("mean_latency"),
-                            (rate > monitor.SCALE_RATE).alias("high_volume"), ((ml > monitor.SCALE_LATENCY) & (rate > monitor.SCALE_LATENCY_RATE)).alias("scale_up")))
+                            (rate > monitor.SCALE_RATE).alias("high_volume"), ((ml > monitor.SCALE_LATENCY) & (rate > monitor.SCALE_LATENCY_RATE)).alias("scale_up")), 9)
 
 
 @register("o16_w10_bottom_k_units", with_(PREDICTION_LOG, LATEST_RUL) + "SELECT unit_id, rul FROM lr ORDER BY rul, unit_id LIMIT 10")
