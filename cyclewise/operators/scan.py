@@ -95,8 +95,10 @@ def exact_quantiles(
     qs: Sequence[float],
     buckets: int = 64,
     names: Sequence[str] | None = None,
+    method: str = "linear",
 ) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy's default) per key,
+    or (``method="index"``) the order statistic ``sorted(values)[floor(q n)]``,
     without holding any group in one task or one buffer.
 
     Distinct (key, value) counts (partial aggregate; a hot value is one row),
@@ -120,6 +122,10 @@ def exact_quantiles(
     cum = running(dvb.withColumn("_b", bucket).drop("_cuts"), keys, [value], F.col("_b"), sums=["_c"], pos=None)
     aggs = []
     for q, nm in zip(qs, names):
+        if method == "index":
+            k = F.least(F.floor(F.lit(q) * F.col("_n")), F.col("_n") - 1)
+            aggs.append(F.min(F.when(F.col("cum__c") > k, F.col(value))).alias(nm))
+            continue
         r = F.lit(q) * (F.col("_n") - 1)
         lo_r, hi_r = F.floor(r), F.ceil(r)
         v_lo = F.min(F.when(F.col("cum__c") > lo_r, F.col(value)))

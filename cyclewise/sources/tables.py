@@ -139,3 +139,66 @@ def member_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("time_cycle") > 5, F.avg("value").over(w.rowsBetween(-5, -1))).alias("boosted"),
         F.when(F.col("time_cycle") > 20, F.avg("value").over(w.rowsBetween(-20, -1))).alias("sequence"),
     )
+
+
+# Stand-in webhook payload mapping from event type.
+EVENT_DRIFT_TYPE = {"click": "psi", "error": "concept", "view": "prediction", "purchase": "data"}
+EVENT_ALERT_NAME = {
+    "click": "DataDriftDetected", "error": "ConceptDriftDetected", "view": "HighPredictionLatency",
+    "purchase": "CriticalDataDrift", "signup": "PredictionDriftDetected",
+}
+
+
+def _case(col: str, mapping: dict) -> F.Column:
+    e = None
+    for k, v in mapping.items():
+        e = F.when(F.col(col) == k, F.lit(v)) if e is None else e.when(F.col(col) == k, F.lit(v))
+    return e
+
+
+def drift_webhooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drift-event webhook bodies (JSON text) derived from ``events``:
+    (event_id, ts, source, body).  Some scores / lookbacks are absent so the
+    defaults apply; sign-ups stand for manual triggers."""
+    ev = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    body = F.to_json(F.struct(
+        F.when(k % 7 == 0, F.lit(None).cast("double")).otherwise(F.round(F.col("value") / 100.0, 4)).alias("drift_score"),
+        _case("event_type", EVENT_DRIFT_TYPE).alias("drift_type"),
+        F.array(F.col("event_type")).alias("features_affected"),
+        F.lit("rul-model").alias("model_name"),
+        F.when(k % 5 == 0, k.cast("int")).alias("data_lookback_days"),
+    ))
+    return ev.select(
+        "event_id", "ts",
+        F.when(F.col("event_type") == "signup", F.lit("manual")).otherwise(F.lit("webhook")).alias("source"),
+        body.alias("body"),
+    )
+
+
+def alert_webhooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alertmanager-style bodies derived from ``events``: (event_id, ts, body);
+    every fourth payload carries a non-drift alert first."""
+    ev = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    main = F.struct(
+        F.create_map(F.lit("alertname"), _case("event_type", EVENT_ALERT_NAME), F.lit("drift_type"), F.coalesce(_case("event_type", EVENT_DRIFT_TYPE), F.lit("psi"))).alias("labels"),
+        F.create_map(F.lit("drift_score"), F.round(F.col("value") / 100.0, 4).cast("string")).alias("annotations"),
+    )
+    other = F.struct(
+        F.create_map(F.lit("alertname"), F.lit("NoPredictions"), F.lit("drift_type"), F.lit("none")).alias("labels"),
+        F.create_map(F.lit("drift_score"), F.lit("0")).alias("annotations"),
+    )
+    alerts = F.when(k % 4 == 0, F.array(other, main)).otherwise(F.array(main))
+    return ev.select("event_id", "ts", F.to_json(F.struct(alerts.alias("alerts"))).alias("body"))
+
+
+def shadow_requests(spark: SparkSession, sf_dir: str, model: str) -> DataFrame:
+    """Per-request records of one ensemble member as a deployed model:
+    (unit_id, time_cycle, prediction, latency_ms, error)."""
+    m = member_forecasts(spark, sf_dir)
+    factor = {"forest": 1.0, "boosted": 1.05, "sequence": 1.2}[model]
+    return m.select(
+        "unit_id", "time_cycle", F.col(model).alias("prediction"),
+        (F.col("y") * F.lit(factor)).alias("latency_ms"), F.col(model).isNull().alias("error"),
+    )
