@@ -53,6 +53,6 @@ def attach_test_rul(test: DataFrame, rul: DataFrame, unit: str = "unit_id", orde
     RUL at cycle t = rul_at_end + (last observed cycle - t).
     """
     last = test.groupBy(unit).agg(F.max(order).alias("_last"))
-    labels = join_small(last, rul, on=[unit], how="inner")
+    labels = join_small(last, rul.withColumnRenamed("rul", "_end_rul"), on=[unit], how="inner")
     out = join_small(test, labels, on=[unit], how="inner")
-    return out.withColumn("RUL", (F.col("rul") + F.col("_last") - F.col(order)).cast("int")).drop("_last", "rul")
+    return out.withColumn("RUL", (F.col("_end_rul") + F.col("_last") - F.col(order)).cast("int")).drop("_last", "_end_rul")
