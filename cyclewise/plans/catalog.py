@@ -6,7 +6,7 @@ import importlib
 
 from .registry import REGISTRY
 
-MODULES = ["q_features", "q_profile", "q_ensemble", "q_drift", "q_monitor", "q_decide", "q_sources", "q_models"]
+MODULES = ["q_features", "q_profile", "q_ensemble", "q_drift", "q_monitor", "q_decide", "q_sources", "q_models", "q_streaming"]
 
 
 def _load() -> None:
