@@ -167,11 +167,17 @@ def payload_defaults(events: DataFrame, source: str = "source") -> DataFrame:
 
 
 def rate_limit(df: DataFrame, trigger: str, ts: str, order: Sequence[str], source: str = "source", per: str = "hour") -> DataFrame:
-    """At most one accepted event per trigger and fixed hour; manual unlimited."""
-    bucket = F.date_trunc(per, F.col(ts))
-    w = Window.partitionBy(trigger, bucket).orderBy(*[F.col(o) for o in order])
-    rn = F.row_number().over(w)
-    return df.withColumn("_rn", rn).filter((F.col(source) == "manual") | (F.col("_rn") == 1)).drop("_rn")
+    """At most one accepted event per trigger and fixed hour (the first by
+    ``order``); manual events unlimited.
+
+    The first event per (trigger, hour) is a ``min`` over an ordering struct: a
+    partial aggregate, so a hot trigger-hour never lands in one task."""
+    bucket = F.date_trunc(per, F.col(ts)).alias("_hour")
+    auto = df.filter(F.col(source) != "manual")
+    first = auto.groupBy(F.col(trigger), bucket).agg(F.min(F.struct(*[F.col(o) for o in order])).alias("_first"))
+    keep = first.select(F.col(trigger), *[F.col("_first")[o].alias(o) for o in order])
+    accepted = auto.join(keep, [trigger, *order], "left_semi")
+    return accepted.unionByName(df.filter(F.col(source) == "manual"))
 
 
 def retrain_plan(quality_passed: Column, improved: Column, shadow_passed: Column) -> Column:

@@ -58,12 +58,12 @@ def latency_bucket(lat: Column, bounds: Sequence[float] = LATENCY_BOUNDS) -> Col
     return e
 
 
-def _le_grid(bounds: Sequence[float]) -> DataFrame:
-    from pyspark.sql import SparkSession
-
-    spark = SparkSession.getActiveSession()
-    rows = [(i, float(b)) for i, b in enumerate(bounds)] + [(len(bounds), float("inf"))]
-    return spark.createDataFrame(rows, "bucket int, le double")
+def with_le_grid(keys: DataFrame, bounds: Sequence[float]) -> DataFrame:
+    """Every key row fanned out to the len(bounds) + 1 buckets (fixed, small),
+    with the bucket's upper bound ``le`` (+Inf last).  An explode, not a join."""
+    les = F.array(*[F.lit(float(b)) for b in bounds], F.lit(float("inf")))
+    g = keys.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(len(bounds)))))
+    return g.withColumn("le", F.element_at(les, F.col("bucket") + 1))
 
 
 def latency_histogram(df: DataFrame, labels: Sequence[str] = ("model_type",), bounds: Sequence[float] = LATENCY_BOUNDS) -> DataFrame:
@@ -73,7 +73,7 @@ def latency_histogram(df: DataFrame, labels: Sequence[str] = ("model_type",), bo
     per = b.groupBy(*labels, "bucket").agg(F.count(F.lit(1)).alias("n"))
     tot = b.groupBy(*labels).agg(F.count(F.lit(1)).alias("count"), F.sum("latency_s").alias("sum"))
     keys = tot.select(*labels)
-    grid = join_small(keys.withColumn("_j", F.lit(1)), _le_grid(bounds).withColumn("_j", F.lit(1)), on=["_j"], known_small=True).drop("_j")
+    grid = with_le_grid(keys, bounds)
     g = join_small(grid, per, on=[*labels, "bucket"], how="left", known_small=False).na.fill(0, ["n"])
     w = Window.partitionBy(*labels).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     g = g.withColumn("cum", F.sum("n").over(w).cast("bigint"))
@@ -155,7 +155,7 @@ def histogram_quantiles(
     b = df.withColumn("_bucket", latency_bucket(F.col("latency_s"), bounds))
     c = sliding_counts(b, labels, width_s, slide_s, extra_keys=["_bucket"])
     keys = [*labels, "window_start"]
-    grid = join_small(c.select(*keys).distinct().withColumn("_j", F.lit(1)), _le_grid(bounds).withColumn("_j", F.lit(1)), on=["_j"], known_small=True).drop("_j")
+    grid = with_le_grid(c.select(*keys).distinct(), bounds)
     g = join_small(grid, c.withColumnRenamed("_bucket", "bucket"), on=[*keys, "bucket"], how="left").na.fill(0, ["n"])
     wo = Window.partitionBy(*keys).orderBy("bucket")
     g = g.withColumn("cum", F.sum("n").over(wo.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
@@ -181,38 +181,49 @@ def histogram_quantiles(
 
 def alert_episodes(evals: DataFrame, keys: Sequence[str], ts: str, cond: str, hold_s: int, step_s: int) -> DataFrame:
     """Threshold alerts with hold time as gaps-and-islands over an
-    evaluation grid.  ``evals``: one row per (keys, ts) evaluation with a boolean
-    ``cond``; consecutive true evaluations (``step_s`` apart) form an island;
-    firing once ts - island start >= hold.
+    evaluation grid.  ``evals``: one row per (keys, ts) evaluation on a
+    ``step_s`` grid with a boolean ``cond``; consecutive true evaluations form an
+    island; it fires once ts - island start >= hold.
+
+    Skew-safe: an island starts where the evaluation one step earlier is not
+    true (an equi anti join on (keys, ts - step)); the island start of every
+    true evaluation is a running max of starts (``scan.running``, bucketed by
+    day), so no label set is ever ordered in one task.
 
     Output per island: keys, started_at, ended_at, evaluations, fired_at (null if
     it never fired), firing_evaluations.
     """
-    w = Window.partitionBy(*keys).orderBy(ts)
-    t = evals.filter(F.col(cond))
-    sec = F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(1_000_000)
-    prev = F.lag(sec, 1).over(w)
-    new_island = F.when(prev.isNull() | (sec - prev > F.lit(step_s)), F.lit(1)).otherwise(F.lit(0))
-    t = t.withColumn("_new", new_island).withColumn("_sec", sec)
-    t = t.withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    t = t.withColumn("_start", F.min("_sec").over(Window.partitionBy(*keys, "_island")))
-    firing = (F.col("_sec") - F.col("_start")) >= F.lit(hold_s)
-    return t.groupBy(*keys, "_island").agg(
+    from .scan import running
+
+    sec = (F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(1_000_000)).cast("long")
+    t = evals.filter(F.col(cond)).select(*keys, F.col(ts), sec.alias("_sec"))
+    prev = t.select(*keys, (F.col("_sec") + F.lit(step_s)).alias("_sec"))
+    starts = t.join(prev, [*keys, "_sec"], "left_anti").select(*keys, "_sec", F.col("_sec").alias("_start"))
+    marked = t.join(starts, [*keys, "_sec"], "left")
+    r = running(marked, keys, ["_sec"], F.floor(F.col("_sec") / F.lit(86400)), maxs=["_start"], pos=None)
+    firing = (F.col("_sec") - F.col("max__start")) >= F.lit(hold_s)
+    return r.groupBy(*keys, "max__start").agg(
         F.min(ts).alias("started_at"),
         F.max(ts).alias("ended_at"),
         F.count(F.lit(1)).alias("evaluations"),
         F.min(F.when(firing, F.col(ts))).alias("fired_at"),
         F.count_if(firing).alias("firing_evaluations"),
-    ).drop("_island")
+    ).drop("max__start")
 
 
 def evaluation_grid(df: DataFrame, labels: Sequence[str], slide_s: int = 30, width_s: int = 300) -> DataFrame:
     """Every evaluation instant (window start) from the first to the last window
-    per label set, including empty ones (O12: silence needs the empty steps)."""
+    per label set, including empty ones (O12: silence needs the empty steps).
+    Generated day by day (two explodes), so no single row fans out to the whole span."""
     slot = slot_of(F.col("ts"), slide_s)
     k = width_s // slide_s
+    per_day = 86400 // slide_s
     span = df.groupBy(*labels).agg((F.min(slot) - F.lit(k - 1)).alias("_lo"), F.max(slot).alias("_hi"))
-    g = span.select(*labels, F.explode(F.sequence("_lo", "_hi")).alias("_start"))
+    days = span.select(*labels, "_lo", "_hi", F.explode(F.sequence(F.floor(F.col("_lo") / per_day), F.floor(F.col("_hi") / per_day))).alias("_d"))
+    days = days.repartition(*labels, "_d")
+    lo = F.greatest(F.col("_lo"), F.col("_d") * per_day)
+    hi = F.least(F.col("_hi"), F.col("_d") * per_day + per_day - 1)
+    g = days.select(*labels, F.explode(F.sequence(lo, hi)).alias("_start"))
     return g.withColumn("window_start", F.timestamp_seconds(F.col("_start") * F.lit(slide_s)).cast("timestamp_ntz")).drop("_start")
 
 

@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from ..schema import LIBRARY_LAGS, LIBRARY_WINDOWS, delta_name, lag_name, rolling_name
 
 ROLLING_STATS = ("mean", "std", "min", "max")
+# A trajectory longer than this is cut into halo chunks when split_rows="auto".
+AUTO_SPLIT_ROWS = 1_000_000
 NULL_POLICIES = ("fill", "drop", "serve")
 
 
@@ -118,6 +120,19 @@ def _halo_chunks(df: DataFrame, order: str, split_rows: int, halo: int) -> DataF
     return own.unionByName(copies)
 
 
+def hottest_unit_rows(df: DataFrame, unit: str = "unit_id") -> int:
+    """Rows of the largest unit: a map-side combined count over the unit column only."""
+    r = df.groupBy(unit).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    return int(r or 0)
+
+
+def resolve_split(df: DataFrame, split_rows, unit: str = "unit_id", limit: int = AUTO_SPLIT_ROWS):
+    """``"auto"``: chunk only if some unit exceeds ``limit`` rows (one probe job)."""
+    if split_rows == "auto":
+        return limit if hottest_unit_rows(df, unit) > limit else None
+    return split_rows
+
+
 def add_features(
     df: DataFrame,
     channels: Sequence[str],
@@ -137,7 +152,11 @@ def add_features(
     first delta -> 0), ``drop`` (pipeline: leave nulls, then drop the rows),
     ``serve`` (serving: lag -> 0, delta -> 0, std -> 0).
     ``extra``: more window expressions over the same spec (e.g. the RUL label).
+    ``split_rows``: None (one window partition per unit), an int (halo chunks of
+    that many cycles), or ``"auto"`` (chunks only when a unit is larger than
+    ``AUTO_SPLIT_ROWS``).
     """
+    split_rows = resolve_split(df, split_rows, unit)
     halo = max([w - 1 for w in windows] + list(lags) + [1 if delta else 0] + [0])
     if split_rows:
         base = _halo_chunks(df, order, split_rows, halo)

@@ -103,3 +103,12 @@ def test_telemetry_view_dense_cycles(spark):
     t = tables.telemetry_lineitem(spark, SF_SMALL)
     per = t.groupBy("unit_id").agg(F.count("*").alias("n"), F.max("time_cycle").alias("mx"), F.countDistinct("time_cycle").alias("nd"))
     assert per.filter("n != mx OR n != nd").count() == 0
+
+
+def test_auto_split_kicks_in_for_hot_unit(f1a, monkeypatch):
+    _, df = f1a
+    a = windows.add_features(df, CH, [5], ["mean", "max"], [1], True, "fill", extra=[labels.rul_expr()]).orderBy("unit_id", "time_cycle").toPandas()
+    monkeypatch.setattr(windows, "AUTO_SPLIT_ROWS", 6)
+    assert windows.resolve_split(df, "auto", limit=6) == 6
+    b = windows.add_features(df, CH, [5], ["mean", "max"], [1], True, "fill", extra=[labels.rul_expr()], split_rows=6).orderBy("unit_id", "time_cycle").toPandas()
+    pd.testing.assert_frame_equal(a, b[a.columns])
