@@ -386,3 +386,32 @@ def q_d17(spark, sf_dir):
     a = drift.inject_drift(t, ["l_quantity"], "shift", 0.5)
     b = drift.inject_drift(a, ["l_tax"], "mixed", 0.5, 1.2, stats=t.agg(F.avg("l_tax").alias("m__l_tax"), F.stddev_pop("l_tax").alias("s__l_tax")))
     return present(b.select("unit_id", "time_cycle", "l_extendedprice", "l_discount", F.round("l_quantity", 4).alias("l_quantity"), F.round("l_tax", 4).alias("l_tax")))
+
+
+@register(
+    "j6_pooled_sample",
+    with_(DRIFT_LONG) + "SELECT feature, side, count(*) AS n, " + r("avg(value)") + " AS mean FROM drift_long GROUP BY ALL",
+)
+def q_j6(spark, sf_dir):
+    ev = tables.table(spark, sf_dir, "events")
+    split = F.lit(tables.DRIFT_SPLIT_TS).cast("timestamp_ntz")
+    ref = ev.filter(F.col("ts") < split).select(F.col("event_type").alias("feature"), "value")
+    cur = ev.filter(F.col("ts") >= split).select(F.col("event_type").alias("feature"), "value")
+    p = drift.pooled(ref, cur)
+    return present(p.groupBy("feature", "side").agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean")))
+
+
+@register("sql_surface_ks_pvalue", with_(DRIFT_LONG, *KS_CTE) + KS_SELECT)
+def q_sql_ks(spark, sf_dir):
+    """The KS query written in Spark SQL against the registered views and the
+    ``ks_pvalue`` SQL function."""
+    from ..functions import sql as sqlsurface
+
+    sqlsurface.register(spark, sf_dir)
+    return spark.sql(
+        """WITH dv AS (SELECT feature, value, count_if(side = 'ref') AS a, count_if(side = 'cur') AS b FROM drift_long GROUP BY feature, value),
+        cum AS (SELECT feature, value, sum(a) OVER w AS ca, sum(b) OVER w AS cb, sum(a) OVER (PARTITION BY feature) AS n, sum(b) OVER (PARTITION BY feature) AS m
+                FROM dv WINDOW w AS (PARTITION BY feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+        ks AS (SELECT feature, max(abs(ca / n - cb / m)) AS ks_stat, first(n) AS n_ref, first(m) AS n_cur FROM cum GROUP BY feature)
+        SELECT feature, round(ks_stat, 6) AS ks_stat, round(ks_pvalue(ks_stat, n_ref, n_cur), 6) AS ks_pvalue, n_ref, n_cur FROM ks"""
+    )

@@ -245,3 +245,17 @@ def q_n4(spark, sf_dir):
     model = pipe.fit(t)
     out = model.transform(t)
     return present(out.select("unit_id", "time_cycle", "RUL", *N4_FEATS))
+
+
+@register("n3_scaler_save_load")
+def q_n3(spark, sf_dir):
+    from ..sources.telemetry import scratch_path
+
+    t = tables.telemetry_lineitem(spark, sf_dir).drop("l_shipdate")
+    model = scaling.TelemetryPipeline(scaling.PipelineSpec(channels=CH, **N4_SPEC)).fit(t)
+    path = scratch_path(spark, "pipeline_model")
+    model.save(path)
+    loaded = scaling.TelemetryPipelineModel.load(path)
+    a = model.transform(t).select("unit_id", "time_cycle", F.col("l_quantity_rolling_mean_5").alias("a"))
+    b = loaded.transform(t).select("unit_id", "time_cycle", F.col("l_quantity_rolling_mean_5").alias("b"))
+    return a.join(b, ["unit_id", "time_cycle"]).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("a") == F.col("b")).alias("identical"))
