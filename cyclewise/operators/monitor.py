@@ -151,32 +151,38 @@ def histogram_quantiles(
 ) -> DataFrame:
     """histogram_quantile per window: rank = q * total; first bucket whose
     cumulative count >= rank; linear interpolation between the previous bound
-    (0 for the first) and its bound; the +Inf bucket returns the largest finite bound."""
+    (0 for the first) and its bound; the +Inf bucket returns the largest finite bound.
+
+    The bucket counts of a window are columns of ONE aggregate (count per slot
+    and bucket, fanned out to the windows, summed), so cumulating and
+    interpolating over the 12 buckets are plain expressions: two shuffles in all.
+    """
+    nb = len(bounds) + 1
     b = df.withColumn("_bucket", latency_bucket(F.col("latency_s"), bounds))
-    c = sliding_counts(b, labels, width_s, slide_s, extra_keys=["_bucket"])
-    keys = [*labels, "window_start"]
-    grid = with_le_grid(c.select(*keys).distinct(), bounds)
-    g = join_small(grid, c.withColumnRenamed("_bucket", "bucket"), on=[*keys, "bucket"], how="left").na.fill(0, ["n"])
-    wo = Window.partitionBy(*keys).orderBy("bucket")
-    g = g.withColumn("cum", F.sum("n").over(wo.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    g = g.withColumn("prev_cum", F.coalesce(F.lag("cum", 1).over(wo), F.lit(0))).withColumn("prev_le", F.coalesce(F.lag("le", 1).over(wo), F.lit(0.0)))
-    g = g.withColumn("total", F.max("cum").over(Window.partitionBy(*keys)))
-    aggs = []
-    top = float(bounds[-1])
-    for q in qs:
-        rank = F.lit(q) * F.col("total")
-        hit = F.col("cum") >= rank
-        pick = F.min_by(F.struct("le", "prev_le", "cum", "prev_cum"), F.when(hit, F.col("bucket")))
-        aggs.append(pick.alias(f"_p{int(round(q * 1000))}"))
-    out = g.groupBy(*keys).agg(*aggs, F.first("total").alias("total"))
-    cols = [*keys, "total"]
+    c = sliding_counts(b, labels, width_s, slide_s, conds={f"_c{i}": F.col("_bucket") == i for i in range(nb)})
+    cum = []
+    acc = None
+    for i in range(nb):
+        acc = F.col(f"_c{i}") if acc is None else acc + F.col(f"_c{i}")
+        cum.append(acc)
+    c = c.select(*labels, "window_start", *[x.alias(f"_cum{i}") for i, x in enumerate(cum)])
+    total = F.col(f"_cum{nb - 1}")
+    les = [float(x) for x in bounds]
+    cols = [*labels, "window_start", total.cast("bigint").alias("total")]
     for q in qs:
-        p = F.col(f"_p{int(round(q * 1000))}")
-        rank = F.lit(q) * F.col("total")
-        interp = p["prev_le"] + (p["le"] - p["prev_le"]) * ((rank - p["prev_cum"]) / (p["cum"] - p["prev_cum"]))
-        v = F.when(F.col("total") == 0, F.lit(None)).when(F.isnan(p["le"]) | (p["le"] == float("inf")), F.lit(top)).otherwise(interp)
-        cols.append(v.alias(f"p{int(round(q * 100))}"))
-    return out.select(*cols)
+        rank = F.lit(q) * total
+        v = None
+        for i in range(nb):
+            cum_i = F.col(f"_cum{i}")
+            if i == nb - 1:
+                val = F.lit(les[-1])
+            else:
+                prev_cum = F.col(f"_cum{i - 1}") if i > 0 else F.lit(0)
+                prev_le = F.lit(les[i - 1]) if i > 0 else F.lit(0.0)
+                val = prev_le + (F.lit(les[i]) - prev_le) * ((rank - prev_cum) / (cum_i - prev_cum))
+            v = F.when(cum_i >= rank, val) if v is None else v.when(cum_i >= rank, val)
+        cols.append(F.when(total == 0, F.lit(None)).otherwise(v).alias(f"p{int(round(q * 100))}"))
+    return c.select(*cols)
 
 
 def alert_episodes(evals: DataFrame, keys: Sequence[str], ts: str, cond: str, hold_s: int, step_s: int) -> DataFrame:
