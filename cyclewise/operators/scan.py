@@ -28,20 +28,23 @@ def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    bucket: Column,
+    bucket: Column | str,
     sums: Sequence[str] = (),
     mins: Sequence[str] = (),
     maxs: Sequence[str] = (),
     pos: str | None = "pos",
     prefix: str = "cum_",
+    keep_bucket: bool = False,
 ) -> DataFrame:
     """Add ``pos`` (1-based row number within key) and inclusive running
     ``cum_<c>`` sums, ``min_<c>`` minima and ``max_<c>`` maxima along ``order``.
 
-    ``bucket`` must be non-decreasing along ``order`` within a key.
+    ``bucket`` must be non-decreasing along ``order`` within a key.  Passing the
+    name ``"_bkt"`` of a bucket column kept by a previous scan
+    (``keep_bucket=True``) lets nested scans reuse its partitioning.
     """
     keys, order = list(keys), list(order)
-    b = df.withColumn("_bkt", bucket)
+    b = df if isinstance(bucket, str) and bucket == "_bkt" and "_bkt" in df.columns else df.withColumn("_bkt", bucket)
     local = Window.partitionBy(*keys, "_bkt").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rn = Window.partitionBy(*keys, "_bkt").orderBy(*order)
     cols = [F.col(c) for c in b.columns]
@@ -69,7 +72,7 @@ def running(
     offsets = totals.select(*off_cols)
 
     j = join_small(loc, offsets, on=[*keys, "_bkt"], how="inner")
-    out = [F.col(c) for c in df.columns]
+    out = [F.col(c) for c in df.columns if c != "_bkt"] + ([F.col("_bkt")] if keep_bucket else [])
     if pos:
         out.append((F.col("_on") + F.col("_lpos")).alias(pos))
     out += [(F.coalesce(F.col(f"_os_{c}"), F.lit(0)) + F.col(f"_ls_{c}")).alias(f"{prefix}{c}") for c in sums]
