@@ -10,20 +10,17 @@ KS_TERMS = 100
 KS_SMALL_LAMBDA = 0.2
 
 
-def ks_pvalue(d: Column, n: Column, m: Column) -> Column:
-    """Asymptotic two-sample KS p-value (Kolmogorov series).
+def ks_pvalue(d: str, n: str, m: str) -> Column:
+    """Asymptotic two-sample KS p-value (Kolmogorov series) of the columns named
+    ``d`` (statistic), ``n`` and ``m`` (sample sizes).
 
     lambda = d * sqrt(n m / (n + m));  p = 2 sum_{k>=1} (-1)^(k-1) exp(-2 k^2 lambda^2),
     clamped to [0, 1]; p = 1 when lambda < 0.2 (the series needs many terms there
-    and the true value is 1 to 9 digits).
+    and the true value is 1 to 9 digits).  Built as SQL text (one JVM call).
     """
-    lam = d * F.sqrt(n.cast("double") * m.cast("double") / (n + m).cast("double"))
-    series = F.aggregate(
-        F.sequence(F.lit(1), F.lit(KS_TERMS)),
-        F.lit(0.0),
-        lambda acc, k: acc + F.lit(2.0) * F.pow(F.lit(-1.0), k - 1) * F.exp(F.lit(-2.0) * k * k * lam * lam),
-    )
-    return F.when(lam < KS_SMALL_LAMBDA, F.lit(1.0)).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
+    lam = f"(`{d}` * sqrt(CAST(`{n}` AS DOUBLE) * CAST(`{m}` AS DOUBLE) / CAST(`{n}` + `{m}` AS DOUBLE)))"
+    series = f"aggregate(sequence(1, {KS_TERMS}), 0D, (acc, k) -> acc + 2D * pow(-1D, k - 1) * exp(-2D * k * k * {lam} * {lam}))"
+    return F.expr(f"CASE WHEN {lam} < {KS_SMALL_LAMBDA} THEN 1D ELSE least(greatest({series}, 0D), 1D) END")
 
 
 def ks_pvalue_sql(d: str, n: str, m: str) -> str:

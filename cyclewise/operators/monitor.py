@@ -50,12 +50,10 @@ def counters(df: DataFrame, labels: Sequence[str] = ("model_type", "status")) ->
     return df.groupBy(*labels).agg(F.count(F.lit(1)).alias("count"))
 
 
-def latency_bucket(lat: Column, bounds: Sequence[float] = LATENCY_BOUNDS) -> Column:
+def latency_bucket(lat: str = "latency_s", bounds: Sequence[float] = LATENCY_BOUNDS) -> Column:
     """Index of the smallest bound >= latency (len(bounds) = +Inf)."""
-    e = F.lit(len(bounds))
-    for i in reversed(range(len(bounds))):
-        e = F.when(lat <= F.lit(bounds[i]), F.lit(i)).otherwise(e)
-    return e
+    whens = " ".join(f"WHEN `{lat}` <= {float(b)!r}D THEN {i}" for i, b in enumerate(bounds))
+    return F.expr(f"CASE {whens} ELSE {len(bounds)} END")
 
 
 def with_le_grid(keys: DataFrame, bounds: Sequence[float]) -> DataFrame:
@@ -69,7 +67,7 @@ def with_le_grid(keys: DataFrame, bounds: Sequence[float]) -> DataFrame:
 def latency_histogram(df: DataFrame, labels: Sequence[str] = ("model_type",), bounds: Sequence[float] = LATENCY_BOUNDS) -> DataFrame:
     """O2: cumulative ``le`` buckets (+Inf) with count and sum per label set,
     cumulated ONCE (rows counted per bucket, then a running sum over 12 buckets)."""
-    b = df.select(*labels, latency_bucket(F.col("latency_s"), bounds).alias("bucket"), "latency_s")
+    b = df.select(*labels, latency_bucket("latency_s", bounds).alias("bucket"), "latency_s")
     per = b.groupBy(*labels, "bucket").agg(F.count(F.lit(1)).alias("n"))
     tot = b.groupBy(*labels).agg(F.count(F.lit(1)).alias("count"), F.sum("latency_s").alias("sum"))
     keys = tot.select(*labels)
@@ -158,30 +156,25 @@ def histogram_quantiles(
     interpolating over the 12 buckets are plain expressions: two shuffles in all.
     """
     nb = len(bounds) + 1
-    b = df.withColumn("_bucket", latency_bucket(F.col("latency_s"), bounds))
+    b = df.withColumn("_bucket", latency_bucket("latency_s", bounds))
     c = sliding_counts(b, labels, width_s, slide_s, conds={f"_c{i}": F.col("_bucket") == i for i in range(nb)})
-    cum = []
-    acc = None
-    for i in range(nb):
-        acc = F.col(f"_c{i}") if acc is None else acc + F.col(f"_c{i}")
-        cum.append(acc)
-    c = c.select(*labels, "window_start", *[x.alias(f"_cum{i}") for i, x in enumerate(cum)])
-    total = F.col(f"_cum{nb - 1}")
+    cum = [" + ".join(f"_c{j}" for j in range(i + 1)) for i in range(nb)]
+    c = c.select(*labels, "window_start", *[F.expr(f"{x} AS _cum{i}") for i, x in enumerate(cum)])
     les = [float(x) for x in bounds]
-    cols = [*labels, "window_start", total.cast("bigint").alias("total")]
+    total = f"_cum{nb - 1}"
+    cols = [*labels, "window_start", F.col(total).cast("bigint").alias("total")]
     for q in qs:
-        rank = F.lit(q) * total
-        v = None
+        rank = f"({q!r}D * {total})"
+        whens = []
         for i in range(nb):
-            cum_i = F.col(f"_cum{i}")
             if i == nb - 1:
-                val = F.lit(les[-1])
+                val = f"{les[-1]!r}D"
             else:
-                prev_cum = F.col(f"_cum{i - 1}") if i > 0 else F.lit(0)
-                prev_le = F.lit(les[i - 1]) if i > 0 else F.lit(0.0)
-                val = prev_le + (F.lit(les[i]) - prev_le) * ((rank - prev_cum) / (cum_i - prev_cum))
-            v = F.when(cum_i >= rank, val) if v is None else v.when(cum_i >= rank, val)
-        cols.append(F.when(total == 0, F.lit(None)).otherwise(v).alias(f"p{int(round(q * 100))}"))
+                prev_cum = f"_cum{i - 1}" if i > 0 else "0"
+                prev_le = f"{les[i - 1]!r}D" if i > 0 else "0D"
+                val = f"{prev_le} + ({les[i]!r}D - {prev_le}) * (({rank} - {prev_cum}) / (_cum{i} - {prev_cum}))"
+            whens.append(f"WHEN _cum{i} >= {rank} THEN {val}")
+        cols.append(F.expr(f"CASE WHEN {total} = 0 THEN NULL {' '.join(whens)} END AS p{int(round(q * 100))}"))
     return c.select(*cols)
 
 

@@ -103,8 +103,7 @@ def q_p8(spark, sf_dir):
 
 def _drop_feats(t):
     # null policy "drop" without the final row drop, so missing cells are counted
-    spec = windows.unit_window()
-    return t.select(*windows.feature_exprs(CH, [5], ["mean", "std"], [1], True, "drop", spec))
+    return t.select(*windows.feature_exprs(CH, [5], ["mean", "std"], [1], True, "drop"))
 
 
 FITTED = ["value", "value_rolling_mean_5", "value_rolling_std_5", "value_lag_1", "value_delta", "value_rolling_max_99"]
