@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import importlib
 
 from .registry import REGISTRY
@@ -14,9 +15,20 @@ def _load() -> None:
         importlib.import_module(f"{__package__}.{m}")
 
 
+def _utc(fn):
+    """Every query reads naive timestamps as UTC wall-clock time (as the oracle does)."""
+
+    @functools.wraps(fn)
+    def run(spark, sf_dir):
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+
+    return run
+
+
 def queries():
     _load()
-    return {k: v[0] for k, v in REGISTRY.items()}
+    return {k: _utc(v[0]) for k, v in REGISTRY.items()}
 
 
 def oracle_sql():

@@ -126,12 +126,13 @@ def q_p10(spark, sf_dir):
 
 @register(
     "s6_drop_all_null_columns",
-    with_(TELEMETRY_EVENTS) + f"SELECT unit_id, time_cycle, ts, event_type, {r('value')} AS value FROM telemetry_events",
+    with_(TELEMETRY_EVENTS) + f"SELECT unit_id, time_cycle, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, event_type, {r('value')} AS value FROM telemetry_events",
 )
 def q_s6(spark, sf_dir):
     t = tables.telemetry_events(spark, sf_dir)
     t = t.withColumn("value_lag_1000", F.lag("value", 1000).over(Window.partitionBy("unit_id").orderBy("time_cycle")))
-    return present(profile.drop_all_null_columns(t))
+    out = profile.drop_all_null_columns(t)
+    return present(out.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")))
 
 
 @register(
@@ -183,10 +184,11 @@ def q_s11(spark, sf_dir):
 
 @register(
     "s14_drop_non_features",
-    with_(TELEMETRY_LINEITEM) + "SELECT l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate FROM telemetry_lineitem",
+    with_(TELEMETRY_LINEITEM) + "SELECT l_quantity, l_extendedprice, l_discount, l_tax, strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate FROM telemetry_lineitem",
 )
 def q_s14(spark, sf_dir):
-    return profile.drop_non_features(labels.add_rul(tables.telemetry_lineitem(spark, sf_dir)))
+    out = profile.drop_non_features(labels.add_rul(tables.telemetry_lineitem(spark, sf_dir)))
+    return out.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))
 
 
 @register(
