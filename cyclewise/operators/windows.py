@@ -266,6 +266,15 @@ def serving_features(
     return out.drop("_rn_desc")
 
 
+def dense_cycles(df: DataFrame, unit: str, order: Sequence[str], bucket: Column, out: str = "time_cycle") -> DataFrame:
+    """Number each unit's rows 1..n along ``order`` without putting a unit in one
+    task: positions come from ``scan.running`` over ``bucket`` ranges (e.g. the
+    month of a timestamp) that are monotone in the order."""
+    from .scan import running
+
+    return running(df, [unit], order, bucket, pos=out).withColumn(out, F.col(out).cast("int"))
+
+
 def top_k(df: DataFrame, by: str, k: int, ascending: bool = False, tie: Sequence[str] = ()) -> DataFrame:
     """Rank by a score and keep k rows (TakeOrderedAndProject, no full sort)."""
     key = F.col(by).asc() if ascending else F.col(by).desc()

@@ -33,7 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def telemetry_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+def telemetry_lineitem(spark: SparkSession, sf_dir: str, skew_safe: bool = False) -> DataFrame:
     """(unit_id int, time_cycle int, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate).
 
     The cycle is a dense 1..n per unit.  The order is made unique by the full key
@@ -44,8 +44,14 @@ def telemetry_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").cast("int").alias("unit_id"),
         "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", *LINEITEM_CHANNELS,
     )
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"]
+    if skew_safe:  # bucketed positions: no unit is ever numbered in one task
+        from ..operators.windows import dense_cycles
+
+        d = dense_cycles(li, "unit_id", order, F.date_trunc("month", F.col("l_shipdate")))
+        return d.select("unit_id", "time_cycle", *LINEITEM_CHANNELS, "l_shipdate")
     # partition by the derived key itself so later per-unit windows reuse this exchange
-    w = Window.partitionBy("unit_id").orderBy("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey")
+    w = Window.partitionBy("unit_id").orderBy(*order)
     return li.select(
         "unit_id",
         F.row_number().over(w).alias("time_cycle"),
@@ -54,11 +60,16 @@ def telemetry_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def telemetry_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def telemetry_events(spark: SparkSession, sf_dir: str, skew_safe: bool = False) -> DataFrame:
     """(unit_id int, time_cycle int, ts, event_type, value)."""
     ev = table(spark, sf_dir, "events").select(
         F.col("user_id").cast("int").alias("unit_id"), "ts", "event_id", "event_type", "value"
     )
+    if skew_safe:
+        from ..operators.windows import dense_cycles
+
+        d = dense_cycles(ev, "unit_id", ["ts", "event_id"], F.date_trunc("day", F.col("ts")))
+        return d.select("unit_id", "time_cycle", "ts", "event_type", "value")
     w = Window.partitionBy("unit_id").orderBy("ts", "event_id")
     return ev.select(
         "unit_id",

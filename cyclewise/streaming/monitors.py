@@ -27,14 +27,24 @@ def prediction_log_stream(events: DataFrame) -> DataFrame:
 
 
 def sliding_rates(log: DataFrame, width: str = "5 minutes", slide: str = "30 seconds", watermark: str = WATERMARK) -> DataFrame:
-    """Per (window, model, status): count, rate, errors, latency sum; append
-    mode emits a window once the watermark passes its end."""
-    return (
+    """Per (window, model, status): count, rate, latency sum; append mode
+    emits a window once the watermark passes its end.
+
+    Two chained stateful aggregations: raw rows are counted per ``slide`` slot
+    first, and only the slot rows are fanned out to the ``width / slide``
+    sliding windows (``window_time`` carries the slot's event time), so the
+    state store and the shuffle see one row per slot instead of ten per event."""
+    slots = (
         log.withWatermark("event_time", watermark)
-        .groupBy(F.window("event_time", width, slide).alias("w"), "model_type", "status")
+        .groupBy(F.window("event_time", slide).alias("s"), "model_type", "status")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("latency_s").alias("latency_sum"))
+    )
+    width_s = int(width.split()[0]) * (60 if "minute" in width else 1)
+    return (
+        slots.groupBy(F.window(F.window_time("s"), width, slide).alias("w"), "model_type", "status")
+        .agg(F.sum("n").alias("n"), F.sum("latency_sum").alias("latency_sum"))
         .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "model_type", "status", "n",
-                (F.col("n") / 300.0).alias("rate"), "latency_sum")
+                (F.col("n") / float(width_s)).alias("rate"), "latency_sum")
     )
 
 

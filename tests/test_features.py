@@ -112,3 +112,12 @@ def test_auto_split_kicks_in_for_hot_unit(f1a, monkeypatch):
     assert windows.resolve_split(df, "auto", limit=6) == 6
     b = windows.add_features(df, CH, [5], ["mean", "max"], [1], True, "fill", extra=[labels.rul_expr()], split_rows=6).orderBy("unit_id", "time_cycle").toPandas()
     pd.testing.assert_frame_equal(a, b[a.columns])
+
+
+def test_skew_safe_cycle_numbering_equals_row_number(spark):
+    a = tables.telemetry_lineitem(spark, SF_SMALL).orderBy("unit_id", "time_cycle").toPandas()
+    b = tables.telemetry_lineitem(spark, SF_SMALL, skew_safe=True).orderBy("unit_id", "time_cycle").toPandas()
+    pd.testing.assert_frame_equal(a, b[a.columns])
+    c = tables.telemetry_events(spark, SF_SMALL).orderBy("unit_id", "time_cycle").toPandas()
+    d = tables.telemetry_events(spark, SF_SMALL, skew_safe=True).orderBy("unit_id", "time_cycle").toPandas()
+    pd.testing.assert_frame_equal(c, d[c.columns])
