@@ -12,14 +12,19 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cyclewise") -> SparkSession:
-    """A local[cores] session with AQE, UTC and no web UI (tests / bench)."""
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cyclewise", coalesce: bool = True) -> SparkSession:
+    """A local[cores] session with AQE, UTC and no web UI (tests / bench).
+
+    ``coalesce=False`` keeps every shuffle at ``shuffle_partitions`` (about two
+    per core): at bench scale AQE would merge the CPU-heavy window stages into
+    fewer, unbalanced tasks.  On a cluster the partition count is sized to the
+    data and AQE coalescing stays on."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.enabled", "true" if coalesce else "false")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
