@@ -259,11 +259,12 @@ def serving_features(
             cols.append(F.when(n_hist >= lag_gate, lagged).otherwise(F.lit(0.0)).alias(lag_name(c, k)))
     for c in channels:
         cols.append(F.coalesce(F.col(c) - F.lag(c, 1).over(spec), F.lit(0.0)).alias(delta_name(c)))
-    out = df.select(*cols, F.row_number().over(Window.partitionBy(unit).orderBy(F.col(order).desc())).alias("_rn_desc"))
+    # the latest row per unit: compared with max(cycle) over the same partition (no second sort)
+    out = df.select(*cols, (F.col(order) == F.max(order).over(Window.partitionBy(unit))).alias("_is_last"))
     out = out.na.fill(0.0)
     if last_only:
-        out = out.filter(F.col("_rn_desc") == 1)
-    return out.drop("_rn_desc")
+        out = out.filter(F.col("_is_last"))
+    return out.drop("_is_last")
 
 
 def dense_cycles(df: DataFrame, unit: str, order: Sequence[str], bucket: Column, out: str = "time_cycle") -> DataFrame:

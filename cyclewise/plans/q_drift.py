@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ..functions.stats import ks_pvalue_sql
 from ..operators import drift, evaluate
-from ..session import ensure_checkpoint_dir
 from ..sources import tables
 from .registry import present, r, register
 from .sqlviews import DRIFT_LONG, SCORED, TELEMETRY_LINEITEM, with_
@@ -350,7 +349,9 @@ def q_d15(spark, sf_dir):
         F.current_timestamp().alias("reported_at"), "model_type", "retrain", F.col("overall_drift").alias("data_drift"),
         "concept_drift", "prediction_drift",
     )
-    path = ensure_checkpoint_dir(spark).rstrip("/") + "/drift_history"
+    from ..sources.telemetry import scratch_path
+
+    path = scratch_path(spark, "drift_history")  # a fresh history table per run keeps the result deterministic
     rep.write.mode("append").parquet(path)
     return spark.read.parquet(path)
 
