@@ -178,7 +178,7 @@ def histogram_quantiles(
     return c.select(*cols)
 
 
-def alert_episodes(evals: DataFrame, keys: Sequence[str], ts: str, cond: str, hold_s: int, step_s: int) -> DataFrame:
+def alert_episodes(evals: DataFrame, keys: Sequence[str], ts: str, cond: str, hold_s: int | str, step_s: int) -> DataFrame:
     """Threshold alerts with hold time as gaps-and-islands over an
     evaluation grid.  ``evals``: one row per (keys, ts) evaluation on a
     ``step_s`` grid with a boolean ``cond``; consecutive true evaluations form an
@@ -189,18 +189,24 @@ def alert_episodes(evals: DataFrame, keys: Sequence[str], ts: str, cond: str, ho
     true evaluation is a running max of starts (``scan.running``, bucketed by
     day), so no label set is ever ordered in one task.
 
+    ``hold_s``: seconds, or the name of a per-row hold column (rules table).
+
     Output per island: keys, started_at, ended_at, evaluations, fired_at (null if
     it never fired), firing_evaluations.
     """
     from .scan import running
 
+    hold = F.col(hold_s) if isinstance(hold_s, str) else F.lit(hold_s)
+    if isinstance(hold_s, str):
+        keys = [*keys, hold_s]  # the hold is a property of the rule, constant per key
+
     sec = (F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(1_000_000)).cast("long")
     t = evals.filter(F.col(cond)).select(*keys, F.col(ts), sec.alias("_sec"))
     prev = t.select(*keys, (F.col("_sec") + F.lit(step_s)).alias("_sec"))
     starts = t.join(prev, [*keys, "_sec"], "left_anti").select(*keys, "_sec", F.col("_sec").alias("_start"))
     marked = t.join(starts, [*keys, "_sec"], "left")
     r = running(marked, keys, ["_sec"], F.floor(F.col("_sec") / F.lit(86400)), maxs=["_start"], pos=None)
-    firing = (F.col("_sec") - F.col("max__start")) >= F.lit(hold_s)
+    firing = (F.col("_sec") - F.col("max__start")) >= hold
     return r.groupBy(*keys, "max__start").agg(
         F.min(ts).alias("started_at"),
         F.max(ts).alias("ended_at"),
@@ -210,6 +216,43 @@ def alert_episodes(evals: DataFrame, keys: Sequence[str], ts: str, cond: str, ho
     ).drop("max__start")
 
 
+# Alert rules (name, metric, comparison, threshold, hold seconds).
+ALERT_RULES = [
+    ("HighPredictionLatency", "latency_p95", ">", 1.0, 300),
+    ("CriticalPredictionLatency", "latency_p99", ">", 2.0, 120),
+    ("HighPredictionErrorRate", "error_ratio", ">", 0.05, 300),
+    ("CriticalPredictionErrorRate", "error_ratio", ">", 0.10, 120),
+]
+
+
+def rules_table(spark, rules=ALERT_RULES) -> DataFrame:
+    return spark.createDataFrame(rules, "rule string, metric string, op string, threshold double, hold_s int")
+
+
+def monitoring_metrics(log: DataFrame, labels: Sequence[str] = ("model_type",)) -> DataFrame:
+    """Long metric series per (labels, window_start): error_ratio, latency_p95,
+    latency_p99 over sliding 5-minute windows (the rule evaluator's input)."""
+    er = error_ratio(log, labels).select(*labels, "window_start", F.lit("error_ratio").alias("metric"), F.col("error_ratio").alias("value"))
+    hq = histogram_quantiles(log, labels, (0.95, 0.99))
+    p95 = hq.select(*labels, "window_start", F.lit("latency_p95").alias("metric"), F.col("p95").alias("value"))
+    p99 = hq.select(*labels, "window_start", F.lit("latency_p99").alias("metric"), F.col("p99").alias("value"))
+    return er.unionByName(p95).unionByName(p99).filter(F.col("value").isNotNull())
+
+
+def evaluate_rules(metrics: DataFrame, rules: DataFrame, labels: Sequence[str] = ("model_type",), step_s: int = 30) -> DataFrame:
+    """O11 with the rules as rows of a table: join each metric sample to its rules
+    (the rule table is small by construction: broadcast), evaluate the
+    comparison, then held-alert islands per (rule, labels)."""
+    j = metrics.join(F.broadcast(rules), "metric")
+    cond = (
+        F.when(F.col("op") == ">", F.col("value") > F.col("threshold"))
+        .when(F.col("op") == "<", F.col("value") < F.col("threshold"))
+        .otherwise(F.col("value") == F.col("threshold"))
+    )
+    ev = j.withColumn("cond", cond)
+    return alert_episodes(ev, ["rule", *labels], "window_start", "cond", "hold_s", step_s)
+
+
 def evaluation_grid(df: DataFrame, labels: Sequence[str], slide_s: int = 30, width_s: int = 300) -> DataFrame:
     """Every evaluation instant (window start) from the first to the last window
     per label set, including empty ones (O12: silence needs the empty steps).

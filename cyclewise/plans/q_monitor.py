@@ -112,6 +112,37 @@ def q_o8(spark, sf_dir):
     return present(out.select("model_type", fmt(F.col("window_start")).alias("window_start"), "n", "errors", "error_ratio", "level"))
 
 
+def _hq_ctes(prefix: str = "h", digits: int | None = 6) -> list[str]:
+    """The quantile CTEs with prefixed names; the last one, ``{prefix}q``, holds
+    (model_type, st, total, p50, p95, p99) unrounded."""
+    parts = []
+    for q in (0.5, 0.95, 0.99):
+        p = f"p{int(round(q * 100))}"
+        parts.append(
+            f"arg_min(struct_pack(le := le, prev_le := prev_le, cum := cum, prev_cum := prev_cum), bucket) FILTER (WHERE cum >= {q} * total) AS s{p}"
+        )
+    sel = []
+    for q in (0.5, 0.95, 0.99):
+        p = f"p{int(round(q * 100))}"
+        e = (f"CASE WHEN total = 0 THEN NULL WHEN s{p}.le = 'inf'::DOUBLE THEN {float(B[-1])} ELSE s{p}.prev_le + (s{p}.le - s{p}.prev_le) * "
+             f"(({q} * total - s{p}.prev_cum) / (s{p}.cum - s{p}.prev_cum)) END")
+        sel.append(f"{e} AS {p}")
+    h = prefix
+    return [
+        LE_VALUES.replace("le AS (", f"{h}le AS (", 1),
+        f"{h}s AS (SELECT model_type, {SLOT} AS slot, {BUCKET_SQL} AS bucket, count(*) AS n FROM prediction_log GROUP BY ALL)",
+        f"{h}f AS (SELECT *, unnest(range(slot - 9, slot + 1)) AS st FROM {h}s)",
+        f"{h}c AS (SELECT model_type, st, bucket, sum(n) AS n FROM {h}f GROUP BY ALL)",
+        f"{h}k AS (SELECT DISTINCT model_type, st FROM {h}c)",
+        f"{h}g AS (SELECT k.model_type, k.st, le.bucket, le.le, coalesce(c.n, 0) AS n FROM {h}k k CROSS JOIN {h}le le LEFT JOIN {h}c c ON c.model_type = k.model_type AND c.st = k.st AND c.bucket = le.bucket)",
+        f"{h}g2 AS (SELECT *, sum(n) OVER (PARTITION BY model_type, st ORDER BY bucket ROWS UNBOUNDED PRECEDING) AS cum FROM {h}g)",
+        f"""{h}g3 AS (SELECT *, coalesce(lag(cum) OVER w, 0) AS prev_cum, coalesce(lag(le) OVER w, 0.0) AS prev_le,
+              max(cum) OVER (PARTITION BY model_type, st) AS total FROM {h}g2 WINDOW w AS (PARTITION BY model_type, st ORDER BY bucket))""",
+        f"{h}q0 AS (SELECT model_type, st, any_value(total) AS total, " + ", ".join(parts) + f" FROM {h}g3 GROUP BY ALL)",
+        f"{h}q AS (SELECT model_type, st, total, " + ", ".join(sel) + f" FROM {h}q0)",
+    ]
+
+
 def _hq_sql() -> str:
     parts = []
     for q in (0.5, 0.95, 0.99):
@@ -320,3 +351,30 @@ def q_o21(spark, sf_dir):
     ev = tables.table(spark, sf_dir, "events")
     st = monitor.latest(ev, ["user_id"], "event_type", ["ts", "event_id"]).withColumnRenamed("event_type", "state")
     return st.groupBy("state").agg(F.count(F.lit(1)).alias("entities"), F.count_if(F.col("state") == "error").alias("down"))
+
+
+RULES_SQL = "rules AS (SELECT * FROM (VALUES " + ", ".join(
+    f"('{n}', '{m}', '{o}', CAST({t} AS DOUBLE), {h})" for n, m, o, t, h in monitor.ALERT_RULES
+) + ") t(rule, metric, op, threshold, hold_s))"
+
+
+@register(
+    "o11_alert_rules_table",
+    with_(PREDICTION_LOG, *ER_CTE, *_hq_ctes("h"), RULES_SQL,
+          """m AS (SELECT model_type, st, 'error_ratio' AS metric, errors / n AS value FROM w
+               UNION ALL SELECT model_type, st, 'latency_p95', p95 FROM hq WHERE p95 IS NOT NULL
+               UNION ALL SELECT model_type, st, 'latency_p99', p99 FROM hq WHERE p99 IS NOT NULL)""",
+          """t AS (SELECT rule, model_type, st * 30 AS sec, hold_s FROM m JOIN rules USING (metric)
+               WHERE CASE op WHEN '>' THEN value > threshold WHEN '<' THEN value < threshold ELSE value = threshold END)""",
+          "i0 AS (SELECT *, lag(sec) OVER (PARTITION BY rule, model_type ORDER BY sec) AS prev FROM t)",
+          "i AS (SELECT *, sum(CASE WHEN prev IS NULL OR sec - prev > 30 THEN 1 ELSE 0 END) OVER (PARTITION BY rule, model_type ORDER BY sec ROWS UNBOUNDED PRECEDING) AS island FROM i0)",
+          "j AS (SELECT *, min(sec) OVER (PARTITION BY rule, model_type, island) AS start FROM i)")
+    + f"""SELECT rule, model_type, CAST(any_value(hold_s) AS INTEGER) AS hold_s, {ts_sql('min(sec)')} AS started_at, {ts_sql('max(sec)')} AS ended_at,
+  count(*) AS evaluations, {ts_sql('min(sec) FILTER (WHERE sec - start >= hold_s)')} AS fired_at,
+  count(*) FILTER (WHERE sec - start >= hold_s) AS firing_evaluations FROM j GROUP BY rule, model_type, island""",
+)
+def q_o11_rules(spark, sf_dir):
+    log = _log(spark, sf_dir)
+    ep = monitor.evaluate_rules(monitor.monitoring_metrics(log), monitor.rules_table(spark))
+    return ep.select("rule", "model_type", "hold_s", fmt(F.col("started_at")).alias("started_at"), fmt(F.col("ended_at")).alias("ended_at"),
+                     "evaluations", fmt(F.col("fired_at")).alias("fired_at"), "firing_evaluations")
