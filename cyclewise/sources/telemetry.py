@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,14 +59,26 @@ def load_split(spark: SparkSession, data_dir: str, kind: str, dataset: str) -> D
     return read_trajectories(spark, f"{data_dir.rstrip('/')}/{file_name(kind, dataset)}")
 
 
-def read_rul(spark: SparkSession, path: str) -> DataFrame:
-    """One int per line; the line position (1-based) is the test unit.
+def with_line_index(lines: DataFrame, out: str = "line_no") -> DataFrame:
+    """1-based position of every line in file order, in the JVM.
+
+    ``monotonically_increasing_id`` is increasing inside a partition (file order)
+    and carries the partition in its upper bits; per-partition counts (one row
+    per partition) give each partition's offset.  No single-task window, no
+    Python rows."""
+    t = lines.select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid"))
+    base = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
+    counts = t.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    j = t.join(F.broadcast(offsets), "_pid")  # one row per input partition
+    return j.select(*lines.columns, (F.col("_off") + base + F.lit(1)).cast("long").alias(out))
 
-    Positions come from ``zipWithIndex`` (one count job per partition, then
-    offsets): distributed and order-preserving, no single-task window."""
+
+def read_rul(spark: SparkSession, path: str) -> DataFrame:
+    """One int per line; the line position (1-based) is the test unit."""
     lines = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
-    rdd = lines.rdd.zipWithIndex().map(lambda t: (int(t[1]) + 1, int(t[0][0].strip())))
-    return spark.createDataFrame(rdd, T.StructType([T.StructField("unit_id", T.IntegerType(), False), T.StructField("rul", T.IntegerType(), False)]))
+    idx = with_line_index(lines)
+    return idx.select(F.col("line_no").cast("int").alias("unit_id"), F.trim("value").cast("int").alias("rul"))
 
 
 def load_all(spark: SparkSession, data_dir: str, dataset: str) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -123,3 +123,19 @@ def test_split_is_stable_and_disjoint(spark):
     assert a.exceptAll(b).count() == 0
     per_unit = a.groupBy("unit_id").agg(F.countDistinct("split").alias("k"))
     assert per_unit.filter("k > 1").count() == 0  # whole trajectories on one side
+
+
+def test_line_index_across_many_partitions(spark, tmp_path):
+    p = tmp_path / "RUL_FD002.txt"
+    vals = list(range(100, 400, 3))
+    p.write_text("\n".join(str(v) for v in vals) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        lines = spark.read.text(str(p))
+        assert lines.rdd.getNumPartitions() > 3
+        rul = telemetry.read_rul(spark, str(p)).orderBy("unit_id").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert [r["unit_id"] for r in rul] == list(range(1, len(vals) + 1))
+    assert [r["rul"] for r in rul] == vals
