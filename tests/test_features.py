@@ -121,3 +121,15 @@ def test_skew_safe_cycle_numbering_equals_row_number(spark):
     c = tables.telemetry_events(spark, SF_SMALL).orderBy("unit_id", "time_cycle").toPandas()
     d = tables.telemetry_events(spark, SF_SMALL, skew_safe=True).orderBy("unit_id", "time_cycle").toPandas()
     pd.testing.assert_frame_equal(c, d[c.columns])
+
+
+def test_library_recipe_336_features_one_exchange(f1a):
+    from cyclewise.schema import SENSOR_COLS
+
+    _, df = f1a
+    out = windows.add_features(df, SENSOR_COLS, [5, 10, 20], windows.ROLLING_STATS, [1, 5, 10], True, "fill", extra=[labels.rul_expr()])
+    feats = windows.feature_columns(SENSOR_COLS, [5, 10, 20], windows.ROLLING_STATS, [1, 5, 10], True)
+    assert len(feats) == 336 and set(feats) <= set(out.columns)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert out.count() == 100
