@@ -139,3 +139,19 @@ def test_line_index_across_many_partitions(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert [r["unit_id"] for r in rul] == list(range(1, len(vals) + 1))
     assert [r["rul"] for r in rul] == vals
+
+
+def test_stream_scoring_equals_batch_scoring(spark):
+    from cyclewise.operators import windows
+    from cyclewise.plans import q_streaming
+    from cyclewise.sources import tables
+
+    cols, forest, boosted = q_streaming._serving_models(spark, SF_SMALL)
+    t = tables.telemetry_events(spark, SF_SMALL).select("unit_id", "time_cycle", "value")
+    feats = windows.serving_features(t, ["value"], windows=[5, 10, 20], lags=[1, 5, 10], last_only=False)
+    batch = q_streaming.score_features(feats, cols, forest, boosted).orderBy("unit_id", "time_cycle").toPandas()
+    import __spark_entry__ as E
+
+    stream = E.queries()["x9_stream_features_models_ensemble"](spark, SF_SMALL).orderBy("unit_id", "time_cycle").toPandas()
+    assert len(stream) == len(batch)
+    np.testing.assert_allclose(stream["rul"].to_numpy(dtype=float), batch["rul"].to_numpy(dtype=float), atol=0.011)
