@@ -1,14 +1,14 @@
 """DuckDB CTE text for the stand-in views (mirrors cyclewise.sources.tables)."""
 
 TELEMETRY_LINEITEM = """telemetry_lineitem AS (
-  SELECT CAST(l_suppkey AS INTEGER) AS unit_id,
+  SELECT l_suppkey AS unit_id,
          CAST(row_number() OVER (PARTITION BY l_suppkey
               ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey) AS INTEGER) AS time_cycle,
          l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate
   FROM lineitem)"""
 
 TELEMETRY_EVENTS = """telemetry_events AS (
-  SELECT CAST(user_id AS INTEGER) AS unit_id,
+  SELECT user_id AS unit_id,
          CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INTEGER) AS time_cycle,
          ts, event_type, value
   FROM events)"""
@@ -24,7 +24,7 @@ PREDICTION_LOG = """prediction_log AS (
               WHEN 0 THEN 'forest' WHEN 1 THEN 'boosted' ELSE 'sequence' END AS model_type,
          CASE WHEN event_type = 'error' THEN 'error' ELSE 'success' END AS status,
          value / 1000.0 AS latency_s,
-         CAST(user_id AS INTEGER) AS unit_id,
+         user_id AS unit_id,
          value AS rul
   FROM events)"""
 

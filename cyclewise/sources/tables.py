@@ -34,14 +34,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def telemetry_lineitem(spark: SparkSession, sf_dir: str, skew_safe: bool = False) -> DataFrame:
-    """(unit_id int, time_cycle int, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate).
+    """(unit_id bigint, time_cycle int, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate).
 
     The cycle is a dense 1..n per unit.  The order is made unique by the full key
     (shipdate, orderkey, linenumber, partkey); Spark sees through the alias so the
     row_number and any later per-unit window share one exchange.
     """
     li = table(spark, sf_dir, "lineitem").select(
-        F.col("l_suppkey").cast("int").alias("unit_id"),
+        F.col("l_suppkey").alias("unit_id"),  # source type kept: unit filters push down to the scan
         "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", *LINEITEM_CHANNELS,
     )
     order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"]
@@ -61,9 +61,9 @@ def telemetry_lineitem(spark: SparkSession, sf_dir: str, skew_safe: bool = False
 
 
 def telemetry_events(spark: SparkSession, sf_dir: str, skew_safe: bool = False) -> DataFrame:
-    """(unit_id int, time_cycle int, ts, event_type, value)."""
+    """(unit_id bigint, time_cycle int, ts, event_type, value)."""
     ev = table(spark, sf_dir, "events").select(
-        F.col("user_id").cast("int").alias("unit_id"), "ts", "event_id", "event_type", "value"
+        F.col("user_id").alias("unit_id"), "ts", "event_id", "event_type", "value"
     )
     if skew_safe:
         from ..operators.windows import dense_cycles
@@ -111,7 +111,7 @@ def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         model_type_expr(k).alias("model_type"),
         F.when(F.col("event_type") == "error", F.lit("error")).otherwise(F.lit("success")).alias("status"),
         (F.col("value") / 1000.0).alias("latency_s"),
-        F.col("user_id").cast("int").alias("unit_id"),
+        F.col("user_id").alias("unit_id"),
         F.col("value").alias("rul"),
     )
 

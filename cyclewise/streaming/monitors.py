@@ -22,7 +22,7 @@ def prediction_log_stream(events: DataFrame) -> DataFrame:
     return with_event_time(events).select(
         "event_time", F.col("event_id").alias("request_id"), tables.model_type_expr(k).alias("model_type"),
         F.when(F.col("event_type") == "error", "error").otherwise("success").alias("status"),
-        (F.col("value") / 1000.0).alias("latency_s"), F.col("user_id").cast("int").alias("unit_id"), F.col("value").alias("rul"),
+        (F.col("value") / 1000.0).alias("latency_s"), F.col("user_id").alias("unit_id"), F.col("value").alias("rul"),
     )
 
 
