@@ -12,6 +12,7 @@ from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import functions as F
 
 from ..operators import labels, models, windows
+from ..session import cut_lineage
 from ..sources import tables, telemetry
 from .registry import present, register
 
@@ -25,7 +26,9 @@ def _frame(spark, sf_dir):
     f = windows.add_features(t, CH, [5, 10], ["mean", "std"], [1], True, "fill", extra=[labels.rul_expr()])
     feats = CH + windows.feature_columns(CH, [5, 10], ["mean", "std"], [1], True)
     f = models.split(f, ["unit_id", "time_cycle"], share=0.2, by="unit")
-    return models.assemble(f, feats), feats
+    # several fits read this frame: write it once to the shared checkpoint folder
+    # (reliable checkpoint: no recompute of the window plan, survives executor loss)
+    return cut_lineage(models.assemble(f, feats)), feats
 
 
 @register("m1_train_val_split")
@@ -59,7 +62,7 @@ def q_m4(spark, sf_dir):
     t = labels.add_rul(tables.telemetry_lineitem(spark, sf_dir).drop("l_shipdate"))
     seqs = windows.add_sequences(t, ["l_quantity", "l_discount"], 50, target="RUL")
     seqs = models.split(seqs, ["unit_id", "end_cycle"], share=0.2, by="unit")
-    fr = models.sequence_frame(seqs)
+    fr = cut_lineage(models.sequence_frame(seqs))  # the 50x window blow-up is written once before fitting
     m = models.sequence_regressor().fit(fr.filter("split = 'train'"))
     return present(models.predict(m, fr.filter("split = 'val'")).select("unit_id", "end_cycle", "RUL", "prediction"), 4)
 
