@@ -30,7 +30,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.codegen.maxFields", "1000")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
