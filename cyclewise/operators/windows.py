@@ -194,12 +194,14 @@ def add_sequences(
     unit: str = "unit_id",
     order: str = "time_cycle",
     split_rows: int | None = None,
+    dtype: str = "double",
 ) -> DataFrame:
     """One row per run of ``length`` consecutive cycles within a unit.
 
-    ``seq`` is ``array<array<double>>`` (time-major, channels in given order),
+    ``seq`` is ``array<array<dtype>>`` (time-major, channels in given order),
     target = the last row's target.  Units shorter than ``length`` give no rows.
-    Sequences never cross unit boundaries.
+    Sequences never cross unit boundaries.  The output is ``length`` times the
+    input: pass only the channels needed and ``dtype="float"`` to halve it.
     """
     if split_rows:
         base = _halo_chunks(df, order, split_rows, length - 1)
@@ -208,7 +210,7 @@ def add_sequences(
         base = df
         spec = unit_window(unit, order)
     frame = spec.rowsBetween(-(length - 1), Window.currentRow)
-    vec = F.array(*[F.col(c).cast("double") for c in channels])
+    vec = F.array(*[F.col(c).cast(dtype) for c in channels])
     cols = [
         F.col(unit),
         F.col(order).alias("end_cycle"),

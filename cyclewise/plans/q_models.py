@@ -60,7 +60,7 @@ def q_m3(spark, sf_dir):
 @register("m4_sequence_regressor")
 def q_m4(spark, sf_dir):
     t = labels.add_rul(tables.telemetry_lineitem(spark, sf_dir).drop("l_shipdate"))
-    seqs = windows.add_sequences(t, ["l_quantity", "l_discount"], 50, target="RUL")
+    seqs = windows.add_sequences(t, ["l_quantity", "l_discount"], 50, target="RUL", dtype="float")
     seqs = models.split(seqs, ["unit_id", "end_cycle"], share=0.2, by="unit")
     fr = cut_lineage(models.sequence_frame(seqs))  # the 50x window blow-up is written once before fitting
     m = models.sequence_regressor().fit(fr.filter("split = 'train'"))
