@@ -115,6 +115,49 @@ def feature_exprs(
     return out
 
 
+def stackable(windows: Sequence[int]) -> bool:
+    """True when the sorted windows form a chain where each is a multiple of the previous."""
+    ws = sorted(windows)
+    return len(ws) > 1 and all(b % a == 0 for a, b in zip(ws, ws[1:]))
+
+
+def _stacked_stages(channels, windows, stats, unit, order, extra_keys):
+    """Rolling mean / min / max of the longer windows built from the shorter one
+    instead of from their own sliding frames.
+
+    A sliding frame is re-aggregated for every row (cost ~ width); here only the
+    smallest window is a frame, and a window of k times that width is the
+    combination of k consecutive blocks taken with ``lag`` (cost ~ k):
+    min = least of block minima, max = greatest of block maxima, mean = sum of
+    block sums / sum of block counts.  ``least`` / ``greatest`` skip the missing
+    blocks before the trajectory start, so the ``min_periods=1`` semantics hold
+    exactly; means differ from a single frame sum only by float association.
+    Returns a list of stages, each a list of SQL select items (intermediate
+    columns are prefixed ``__``).
+    """
+    ws = sorted(windows)
+    plain = _over(unit, order, extra_keys)
+    first = _over(unit, order, extra_keys, ws[0])
+    stages = [[]]
+    for c in channels:
+        q = _q(c)
+        stages[0] += [f"sum({q}) {first} AS `__{c}__s{ws[0]}`", f"count({q}) {first} AS `__{c}__n{ws[0]}`",
+                      f"min({q}) {first} AS `__{c}__mn{ws[0]}`", f"max({q}) {first} AS `__{c}__mx{ws[0]}`"]
+    for a, b in zip(ws, ws[1:]):
+        k = b // a
+        items = []
+        for c in channels:
+            blocks = lambda n: [f"`__{c}__{n}{a}`"] + [f"lag(`__{c}__{n}{a}`, {a * j}) {plain}" for j in range(1, k)]
+            items += [
+                " + ".join([blocks("s")[0]] + [f"coalesce({x}, 0D)" for x in blocks("s")[1:]]) + f" AS `__{c}__s{b}`",
+                " + ".join([blocks("n")[0]] + [f"coalesce({x}, 0L)" for x in blocks("n")[1:]]) + f" AS `__{c}__n{b}`",
+                f"least({', '.join(blocks('mn'))}) AS `__{c}__mn{b}`",
+                f"greatest({', '.join(blocks('mx'))}) AS `__{c}__mx{b}`",
+            ]
+        stages.append(items)
+    return stages
+
+
 def _halo_chunks(df: DataFrame, order: str, split_rows: int, halo: int) -> DataFrame:
     if halo > split_rows:
         raise ValueError("halo must not exceed split_rows")
@@ -156,6 +199,7 @@ def add_features(
     order: str = "time_cycle",
     split_rows: int | None = None,
     extra: Sequence[Column] = (),
+    stack: bool = True,
 ) -> DataFrame:
     """All rolling / lag / delta features in one projection.
 
@@ -166,6 +210,9 @@ def add_features(
     ``split_rows``: None (one window partition per unit), an int (halo chunks of
     that many cycles), or ``"auto"`` (chunks only when a unit is larger than
     ``AUTO_SPLIT_ROWS``).
+    ``stack``: when the windows form a multiple chain (5, 10, 20), longer-window
+    mean / min / max are combined from the shortest window's blocks
+    (``_stacked_stages``): same partitioning and order, no extra exchange or sort.
     """
     split_rows = resolve_split(df, split_rows, unit)
     halo = max([w - 1 for w in windows] + list(lags) + [1 if delta else 0] + [0])
@@ -175,10 +222,31 @@ def add_features(
     else:
         base = df
         keys = []
-    exprs = feature_exprs(channels, windows, stats, lags, delta, null_policy, unit, order, keys)
     extra_cols = list(extra)
     keep = [c for c in df.columns]
-    out = base.select(*[F.col(c) for c in keep], *extra_cols, *exprs, *(["_halo"] if split_rows else []))
+    halo_col = ["_halo"] if split_rows else []
+    stacked = stack and stackable(windows) and any(st in ("mean", "min", "max") for st in stats)
+    if not stacked:
+        exprs = feature_exprs(channels, windows, stats, lags, delta, null_policy, unit, order, keys)
+        out = base.select(*[F.col(c) for c in keep], *extra_cols, *exprs, *halo_col)
+    else:
+        # std / lags / deltas as before; mean / min / max of longer windows stacked from the shortest
+        exprs = feature_exprs(channels, windows, [st for st in stats if st == "std"], lags, delta, null_policy, unit, order, keys)
+        stages = _stacked_stages(channels, windows, stats, unit, order, keys)
+        out = base.select(*[F.col(c) for c in keep], *extra_cols, *exprs, *[F.expr(x) for x in stages[0]], *halo_col, *[F.col(k) for k in keys])
+        for st in stages[1:]:
+            out = out.select("*", *[F.expr(x) for x in st])
+        final = {}
+        for w in windows:
+            for c in channels:
+                final[rolling_name(c, "mean", w)] = F.expr(f"`__{c}__s{w}` / `__{c}__n{w}`")
+                final[rolling_name(c, "min", w)] = F.col(f"__{c}__mn{w}")
+                final[rolling_name(c, "max", w)] = F.col(f"__{c}__mx{w}")
+        names = feature_columns(channels, windows, stats, lags, delta)
+        lead = [F.col(c) for c in keep]
+        extra_names = [n for n in out.columns if n not in set(keep) | set(names) | set(halo_col) | set(keys) and not n.startswith("__")]
+        out = out.select(*lead, *[F.col(n) for n in extra_names],
+                         *[(final[n] if n in final else F.col(n)).alias(n) for n in names], *halo_col)
     if split_rows:
         out = out.filter(~F.col("_halo")).drop("_halo")
     if null_policy == "drop":

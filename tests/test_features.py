@@ -133,3 +133,16 @@ def test_library_recipe_336_features_one_exchange(f1a):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert out.count() == 100
+
+
+def test_stacked_windows_with_halo_chunks_equal_frames(spark):
+    from cyclewise.schema import TELEMETRY_SCHEMA
+
+    from .conftest import make_telemetry
+
+    pdf = make_telemetry(units=3, cycles=80)
+    df = spark.createDataFrame(pdf.astype({"unit_id": "int32", "time_cycle": "int32"}), TELEMETRY_SCHEMA)
+    a = windows.add_features(df, CH, [5, 10, 20], windows.ROLLING_STATS, [1, 5], True, "fill", stack=False).orderBy("unit_id", "time_cycle").toPandas()
+    b = windows.add_features(df, CH, [5, 10, 20], windows.ROLLING_STATS, [1, 5], True, "fill", split_rows=25, extra=[labels.rul_expr()]).orderBy("unit_id", "time_cycle").toPandas()
+    assert list(b.columns[: len(df.columns)]) == df.columns
+    pd.testing.assert_frame_equal(a, b[a.columns], check_exact=False, rtol=1e-12)
