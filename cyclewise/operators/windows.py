@@ -1,8 +1,9 @@
 """Per-unit time-series features: rolling stats, lags, deltas, sequences.
 
-Every feature of one recipe is produced by ONE ``select`` over ONE window
-specification, so Catalyst plans one ``Exchange hashpartitioning(unit_id)``, one
-``Sort`` and one ``WindowExec`` for all of them.
+Every feature of one recipe is computed over ONE window partitioning and order
+(unit, cycle), so Catalyst plans one ``Exchange hashpartitioning(unit_id)`` and
+one ``Sort`` for all of them; the stacked longer windows add window operators
+over the already partitioned and sorted rows, never another exchange or sort.
 
 Scale: a hot unit (a third of all rows in one key) would put one trajectory in
 one task.  ``split_rows`` cuts every trajectory into chunks of ``split_rows``
