@@ -211,8 +211,8 @@ SELECT model_type, {ts_sql('min(sec)')} AS started_at, {ts_sql('max(sec)')} AS e
 FROM j GROUP BY model_type, island"""
 
 
-def _episodes(ev, hold):
-    e = monitor.alert_episodes(ev, ["model_type"], "window_start", "cond", hold, 30)
+def _episodes(ev, hold, plain=False):
+    e = monitor.alert_episodes(ev, ["model_type"], "window_start", "cond", hold, 30, plain=plain)
     return e.select("model_type", fmt(F.col("started_at")).alias("started_at"), fmt(F.col("ended_at")).alias("ended_at"), "evaluations",
                     fmt(F.col("fired_at")).alias("fired_at"), "firing_evaluations")
 
@@ -222,8 +222,9 @@ def _episodes(ev, hold):
     with_(PREDICTION_LOG, *ER_CTE).rstrip() + _episodes_sql("SELECT model_type, st * 30 AS sec FROM w WHERE errors / n > 0.05", 300),
 )
 def q_o11(spark, sf_dir):
-    er = monitor.error_ratio(_log(spark, sf_dir)).withColumn("cond", F.col("error_ratio") > monitor.ERROR_RATIO_WARNING)
-    return _episodes(er, 300)
+    log = _log(spark, sf_dir)
+    er = monitor.error_ratio(log).withColumn("cond", F.col("error_ratio") > monitor.ERROR_RATIO_WARNING)
+    return _episodes(er, 300, plain=monitor.grid_is_small(log))
 
 
 @register(
@@ -238,7 +239,7 @@ def q_o12(spark, sf_dir):
     grid = monitor.evaluation_grid(log, ["model_type"])
     r_ = monitor.rates(log, ["model_type"]).select("model_type", "window_start", "rate")
     ev = grid.join(r_, ["model_type", "window_start"], "left").withColumn("cond", F.coalesce(F.col("rate"), F.lit(0.0)) == 0)
-    return _episodes(ev, 300)
+    return _episodes(ev, 300, plain=monitor.grid_is_small(log))
 
 
 @register(
@@ -375,6 +376,6 @@ RULES_SQL = "rules AS (SELECT * FROM (VALUES " + ", ".join(
 )
 def q_o11_rules(spark, sf_dir):
     log = _log(spark, sf_dir)
-    ep = monitor.evaluate_rules(monitor.monitoring_metrics(log), monitor.rules_table(spark))
+    ep = monitor.evaluate_rules(monitor.monitoring_metrics(log), monitor.rules_table(spark), plain=monitor.grid_is_small(log))
     return ep.select("rule", "model_type", "hold_s", fmt(F.col("started_at")).alias("started_at"), fmt(F.col("ended_at")).alias("ended_at"),
                      "evaluations", fmt(F.col("fired_at")).alias("fired_at"), "firing_evaluations")

@@ -54,11 +54,12 @@ def test_histogram_quantile_matches_promql_rule(spark):
         assert row[f"p{int(q * 100)}"] == pytest.approx(_promql_quantile(q, bounds, cum))
 
 
-def test_alert_episodes_hold(spark):
+@pytest.mark.parametrize("plain", [False, True])
+def test_alert_episodes_hold(spark, plain):
     t0 = datetime(2024, 1, 1)
     rows = [("a", t0 + timedelta(seconds=30 * i), c) for i, c in enumerate([1, 1, 1, 1, 1, 1, 1, 1, 1, 1, 1, 0, 1, 1])]
     ev = spark.createDataFrame(rows, "model_type string, window_start timestamp, cond int").withColumn("cond", F.col("cond") == 1)
-    ep = monitor.alert_episodes(ev, ["model_type"], "window_start", "cond", 300, 30).orderBy("started_at").collect()
+    ep = monitor.alert_episodes(ev, ["model_type"], "window_start", "cond", 300, 30, plain=plain).orderBy("started_at").collect()
     assert [e["evaluations"] for e in ep] == [11, 2]
     assert ep[0]["fired_at"] == t0 + timedelta(seconds=300) and ep[0]["firing_evaluations"] == 1
     assert ep[1]["fired_at"] is None
