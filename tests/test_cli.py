@@ -33,3 +33,14 @@ def test_drift_command(spark, tmp_path):
     assert cli.main(["drift", "--reference", str(tmp_path / "ref"), "--current", str(tmp_path / "cur"), "--out", str(tmp_path / "d")]) == 0
     s = spark.read.json(str(tmp_path / "d" / "summary")).first()
     assert s["total_features"] == 3 and "feature_0" in s["drifted_features"]
+
+
+def test_list_and_run_commands(spark, tmp_path, capsys):
+    from .conftest import SF_SMALL
+
+    assert cli.main(["list"]) == 0
+    names = capsys.readouterr().out.split()
+    assert "l1_w1_w6_feature_build" in names and len(names) >= 100
+    out = tmp_path / "p6"
+    assert cli.main(["run", "p6_dataset_info", "--sf", SF_SMALL, "--out", str(out)]) == 0
+    assert spark.read.parquet(str(out)).count() == 1
