@@ -188,7 +188,7 @@ def drift_webhooks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alert_webhooks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alertmanager-style bodies derived from ``events``: (event_id, ts, body);
+    """Alert-notification webhook bodies derived from ``events``: (event_id, ts, body);
     every fourth payload carries a non-drift alert first."""
     ev = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("bigint")

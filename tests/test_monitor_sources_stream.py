@@ -29,7 +29,7 @@ def test_sliding_counts_equal_spark_window(spark):
     assert mine.exceptAll(ref).count() == 0 and ref.exceptAll(mine).count() == 0
 
 
-def _promql_quantile(q, bounds, cum):
+def _bucket_quantile_reference(q, bounds, cum):
     total = cum[-1]
     if total == 0:
         return None
@@ -42,7 +42,7 @@ def _promql_quantile(q, bounds, cum):
     return start + (bounds[b] - start) * (rank - prev) / (cum[b] - prev)
 
 
-def test_histogram_quantile_matches_promql_rule(spark):
+def test_histogram_quantile_matches_bucket_interpolation_rule(spark):
     pdf, df = _log(spark)
     out = monitor.histogram_quantiles(df).toPandas()
     row = out.iloc[len(out) // 2]
@@ -51,7 +51,7 @@ def test_histogram_quantile_matches_promql_rule(spark):
     bounds = monitor.LATENCY_BOUNDS
     cum = [int((sel.latency_s <= b).sum()) for b in bounds] + [len(sel)]
     for q in (0.5, 0.95, 0.99):
-        assert row[f"p{int(q * 100)}"] == pytest.approx(_promql_quantile(q, bounds, cum))
+        assert row[f"p{int(q * 100)}"] == pytest.approx(_bucket_quantile_reference(q, bounds, cum))
 
 
 @pytest.mark.parametrize("plain", [False, True])
