@@ -127,12 +127,11 @@ def q_v2(spark, sf_dir):
 
 
 def _long(spark, sf_dir):
+    """Members in long form (model, prediction): one unpivot of one pass over the
+    member view, missing members dropped."""
     m = tables.member_forecasts(spark, sf_dir)
-    parts = [m.select("unit_id", "time_cycle", "ts", "y", F.lit(k).alias("model"), F.col(k).alias("prediction")).filter(F.col(k).isNotNull()) for k in M]
-    out = parts[0]
-    for p_ in parts[1:]:
-        out = out.unionByName(p_)
-    return out
+    long = m.unpivot(["unit_id", "time_cycle", "ts", "y"], list(M), "model", "prediction")
+    return long.filter(F.col("prediction").isNotNull())
 
 
 V3_SQL = with_(TELEMETRY_EVENTS, MEMBERS, MEMBERS_LONG) + (
