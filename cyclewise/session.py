@@ -62,3 +62,22 @@ def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark) -> None:
+    """Make this package importable on every Python worker, whatever folder the driver was started from.
+
+    The package is zipped once per application and handed to ``addPyFile``."""
+    import shutil
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    at = tempfile.mkdtemp(prefix="cyclewise-zip-")
+    path = shutil.make_archive(os.path.join(at, "cyclewise"), "zip", os.path.dirname(root), os.path.basename(root))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
