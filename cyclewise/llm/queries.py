@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, minhash, mixing, pieces, quality, rules, suffix
+from . import langid, minhash, mixing, pieces, quality, rans, rules, suffix
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,6 +97,17 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def byte_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query()
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rans.read_files(spark, rans.write_files(table(spark, sf_dir, "documents"), byte_tokenizer()))
+
+
 @query()
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
