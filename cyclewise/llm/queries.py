@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, minhash, mixing, pieces, quality, rans, rules, suffix
+from . import ann, langid, minhash, mixing, pieces, quality, rans, rules, suffix
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,6 +108,12 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.read_files(spark, rans.write_files(table(spark, sf_dir, "documents"), byte_tokenizer()))
 
 
+@query()
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
 @query()
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
