@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, langid, minhash, mixing, pieces, quality, rans, rules, suffix
+from . import ann, langid, lm, minhash, mixing, pieces, quality, rans, rules, suffix
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,13 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
 
 
+@query()
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = fold("doc_id", 7) == 2
+    got = lm.score(table(spark, sf_dir, "documents"), ~held, byte_tokenizer())
+    return got.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query()
 def op4_exact_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = suffix.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
