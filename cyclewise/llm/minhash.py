@@ -3,11 +3,11 @@
 Each of ``PERMUTATIONS`` hash functions is evaluated once per shingle, and both its minimum and
 its maximum are kept: twice the signature for the same work.  Bands of ``ROWS`` values are the
 candidate keys.  Documents with one and the same shingle set are one class from the start, so
-copies never meet in a bucket.  Within a bucket every class is compared with one pivot; links
-join classes into components, and only pairs in different components that share a bucket and
-were not compared yet are compared afterwards.  So no bucket emits all its pairs, and no
-candidate link between different components is left out.  Links are confirmed on the full sets
-of 64-bit shingle hashes.
+copies never meet in a bucket.  Within a bucket every class is compared with one pivot, twice;
+links join classes into components.  Buckets that still hold several components are compared in
+pairs of bounded blocks, and each block pair gives only a spanning forest of its links.  So no
+bucket emits all its pairs, and no candidate link between different components is left out.
+Links are confirmed on the full sets of 64-bit shingle hashes.
 
 At similarity 0.85 a pair misses all 24 bands with probability (1 - 0.85^6)^24 = 1.2e-5.
 
@@ -22,11 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, ragged, slices, utf8
+from .common import materialise, slices, utf8
 from .components import components
 
 PERMUTATIONS = 72
@@ -37,7 +38,7 @@ PERCENT = 85
 # Signature values (of 2 x PERMUTATIONS) that must agree before sets are compared: at similarity
 # 0.85 the mean is 122 with a deviation of about 5, so this lies over five deviations below.
 AGREE = 94
-STAR_ROUNDS = 2
+BLOCK = 512  # members in a block of a large bucket
 
 _rng = np.random.default_rng(20240607)
 _MUL = _rng.integers(0, 2**32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1)
@@ -131,50 +132,142 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("id"), pa.ListArray.from_arrays(at, pa.array(np.concatenate(found), pa.int64()))], ["id", "s"])
 
 
-def _links(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are links; texts are read again only for the ids in close pairs."""
+def _links(pairs: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are links: sketches first, then the full sets."""
     side = reps.select("id", "n_shingles", "sketch")
     near = (pairs.join(side.toDF("a", "na", "sa"), "a").join(side.toDF("b", "nb", "sb"), "b")
             .mapInArrow(_close, "a long, b long"))
-    near = materialise(near)
-    ids = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
-    sets = materialise(docs.join(ids, "id", "left_semi").mapInArrow(_sets, "id long, s array<long>").dropDuplicates(["id"]))
     both = near.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
     shared = F.size(F.array_intersect("x", "y"))
     return both.select("a", "b", shared.alias("i"), (F.size("x") + F.size("y") - shared).alias("u")).filter(
         F.col("i") * 100 >= F.col("u") * PERCENT).select("a", "b")
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with one (band, i, j), which arrive sorted; a run is bounded by two blocks."""
+    held = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        t = pa.Table.from_batches([b] if held is None else [held, b]).combine_chunks().to_batches()[0]
+        key = np.stack([t.column(c).to_numpy() for c in ("band", "i", "j")])
+        cut = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
+        for x, y in zip([0, *cut[:-1].tolist()], cut.tolist()):
+            yield t.slice(x, y - x)
+        held = t.slice(int(cut[-1]) if len(cut) else 0)
+    if held is not None:
+        yield held
+
+
+def _across(b: pa.RecordBatch) -> np.ndarray:
+    """Pairs of a block pair that are to be compared: different components and, for two blocks, one of each."""
+    comp, block = b.column("component").to_numpy(), b.column("block").to_numpy()
+    ok = comp[:, None] != comp[None, :]
+    if b.column("i")[0].as_py() != b.column("j")[0].as_py():
+        ok &= block[:, None] != block[None, :]
+    return ok
+
+
+def _hopeful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members of a block pair whose sketch allows a link to a member of another component."""
+    for b in _blocks(batches):
+        s = np.frombuffer(b"".join(b.column("sketch").to_pylist()), np.uint8).reshape(b.num_rows, -1)
+        n = b.column("n_shingles").to_numpy()
+        ok = _across(b)
+        ok &= 100 * np.minimum(n[:, None], n[None, :]) >= PERCENT * np.maximum(n[:, None], n[None, :])
+        some = np.zeros(len(s), bool)
+        for k in np.flatnonzero(ok.any(axis=1)).tolist():
+            some[k] = ((s[ok[k]] == s[k]).sum(axis=1) >= AGREE).any()
+        if some.any():
+            yield b.filter(pa.array(some)).select(["band", "i", "j", "block", "id", "component"])
+
+
+def _forest(ok: np.ndarray) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of a symmetric link matrix."""
+    seen, out = np.zeros(len(ok), bool), []
+    for root in range(len(ok)):
+        todo = [] if seen[root] else [root]
+        seen[root] = True
+        while todo:
+            k = todo.pop()
+            new = np.flatnonzero(ok[k] & ~seen)
+            seen[new] = True
+            out += [(k, m) for m in new.tolist()]
+            todo += new.tolist()
+    return out
+
+
+def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Exact comparison inside a block pair; a spanning forest of its links goes out, never all of them."""
+    for b in _blocks(batches):
+        n = b.num_rows
+        lists = b.column("s")
+        size = pc.list_value_length(lists).to_numpy().astype(np.int64)
+        owner = np.repeat(np.arange(n), size)
+        kinds, col = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        order = np.argsort(col, kind="stable")
+        col, owner = col[order], owner[order]
+        shared = np.zeros((n, n), np.float32)
+        for c in range(0, len(kinds), 4096):
+            x, y = np.searchsorted(col, [c, c + 4096])
+            m = np.zeros((n, 4096), np.float32)
+            m[owner[x:y], col[x:y] - c] = 1
+            shared += m @ m.T
+        ok = _across(b) & (100 * shared >= PERCENT * (size[:, None] + size[None, :] - shared))
+        edges = _forest(ok)
+        if edges:
+            ids = b.column("id").to_numpy()
+            e = np.array(edges)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[e[:, 0]]), pa.array(ids[e[:, 1]])], ["a", "b"])
+
+
+def _rest(buckets: DataFrame, comp: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between components inside buckets of three or more, by blocks of about BLOCK members.
+
+    Every pair of blocks is one bounded piece of work; a large bucket becomes many of them."""
+    now = buckets.filter("n > 2").join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    split = now.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("band")
+    nb = F.ceil(F.col("n") / BLOCK).cast("int")
+    block = F.pmod(F.xxhash64("id", F.lit("block")), nb).cast("int")
+    rows = (now.join(split, "band").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), nb - 1)))
+            .select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "component"))
+    key = ["band", "i", "j"]
+    spread = lambda df: df.repartition(*key).sortWithinPartitions(*key)
+    near = materialise(spread(rows.join(reps.select("id", "n_shingles", "sketch"), "id")).mapInArrow(
+        _hopeful, "band long, i int, j int, block int, id long, component long"))
+    return spread(near.join(sets, "id")).mapInArrow(_confirm, "a long, b long")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row of ``df``."""
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed = materialise(docs.mapInArrow(_sign, "id long, n_shingles long, print binary, bands array<long>, sketch binary"))
     full = signed.filter("n_shingles > 0 and id is not null")
-    classes = full.groupBy("print").agg(F.min("id").alias("rep"))  # copies: combined before the shuffle
-    classes = materialise(classes)
+    classes = materialise(full.groupBy("print").agg(F.min("id").alias("rep")))  # copies: combined before the shuffle
     reps = materialise(full.join(classes, "print").filter("id = rep").drop("rep").dropDuplicates(["print"]))
 
     rows = reps.select("id", F.explode("bands").alias("band"))
     pivots = rows.groupBy("band").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    buckets = materialise(rows.join(pivots, "band").select("band", "id", "pivot"))
-    tested = materialise(buckets.filter("id != pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct())
-    links = materialise(_links(tested, reps, docs))
-    for round_ in range(1, STAR_ROUNDS + 2):
-        comp = materialise(components(links))
-        now = buckets.join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        split = now.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                        F.min_by("id", F.xxhash64("id", F.lit(round_))).alias("p")).filter("lo < hi")
-        if round_ <= STAR_ROUNDS:  # another pivot for each bucket that still holds two components
-            left = now.join(split, "band").select("id", "component", "p")
-            own = comp.toDF("p", "pc")
-            pairs = left.join(own, "p", "left").filter("component != coalesce(pc, p)").select("id", "p")
-        else:  # every pair that is left, across components
-            left = materialise(now.join(split.select("band"), "band").select("band", "id", "component"))
-            pairs = left.join(left.toDF("band", "p", "pc"), "band").filter("component < pc").select("id", "p")
-        pairs = pairs.select(F.greatest("id", "p").alias("a"), F.least("id", "p").alias("b")).distinct()
-        pairs = materialise(pairs.join(tested, ["a", "b"], "left_anti"))
-        more = materialise(_links(pairs, reps, docs))
-        tested, links = tested.union(pairs), links.union(more)
+    buckets = materialise(rows.join(pivots, "band").select("band", "id", "pivot", "n"))
+    # the sets of all members of buckets, read once more from the texts; a merge join at every size,
+    # as the ids grow with the input
+    ids = buckets.select("id").distinct().hint("merge")
+    sets = materialise(docs.join(ids, "id", "left_semi").mapInArrow(_sets, "id long, s array<long>").dropDuplicates(["id"]))
+
+    def star(pairs: DataFrame) -> DataFrame:
+        pairs = pairs.select(F.greatest("id", "p").alias("a"), F.least("id", "p").alias("b")).filter("a != b").distinct()
+        return materialise(_links(pairs, reps, sets))
+
+    links = star(buckets.select("id", F.col("pivot").alias("p")))
+    comp = materialise(components(links))
+    # once more with another pivot, in buckets that still hold two components
+    now = buckets.filter("n > 2").join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    split = now.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                    F.min(F.struct(F.xxhash64("id"), "id", "component")).alias("m")).filter("lo < hi")
+    again = now.join(split.select("band", "m.id", "m.component").toDF("band", "p", "pc"), "band").filter("component != pc")
+    links = links.union(star(again.select("id", "p")))
+    comp = materialise(components(links))
+    links = links.union(materialise(_rest(buckets, comp, reps, sets)))
     comp = components(links)
     member = classes.join(comp, classes["rep"] == comp["id"], "left").select("print", F.coalesce("component", "rep").alias("component_id"))
     out = signed.select("id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("print")).alias("print")).join(member, "print", "left")
