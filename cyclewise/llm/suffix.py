@@ -4,7 +4,8 @@ Equal windows of LENGTH bytes have the same least gram at the same place (the le
 a hash over the window's grams), so a text is cut into segments: the bytes of a run of windows that
 share their least gram.  Segments travel by the hash of that gram, compressed, in one row per
 bucket and slice; equal segments are collapsed to their first place before and after the shuffle,
-and every later place is removed at once.  Segments whose gram occurs in one segment only are done.
+and every later place is removed at once.  Segments whose gram occurs in one
+segment only, or with other bytes on both sides, are done.
 
 The rest of a partition are the documents of a column-wise construction: every round inserts one
 symbol of each document, right to left, and updates the collection's Burrows-Wheeler transform
@@ -38,11 +39,11 @@ from .minhash import mix64
 LENGTH = 100
 GRAM = 24
 SPAN = LENGTH - GRAM + 1  # grams in a window
+HALF = (LENGTH - GRAM) // 2
 CHUNK = 16384  # documents of one construction
 FLUSH_BYTES = 8 << 20  # text of one set of bucket rows
 PARTITION_BYTES = 24 << 20  # segment bytes aimed at in a partition
 GROWTH = 3.4  # segment bytes to a byte of text
-BUCKETS_PER_PARTITION = 4
 SPOOL_BYTES = 64 << 20
 PIECE_BYTES = 2 << 20  # a longer text is cut up for the search
 PLACE = 22  # low bits of a packed minimum hold the place in the slice
@@ -59,12 +60,12 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def cut(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Segments of texts: gram hash, text number, start byte, number of bytes."""
+def cut(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Segments of texts: gram hash, text number, start byte, number of bytes, place of the gram in it."""
     flat, at = flat_bytes(texts)
     none = np.zeros(0, np.int64)
     if len(flat) < LENGTH:
-        return none.astype(np.uint64), none, none, none
+        return none.astype(np.uint64), none, none, none, none
     n = len(flat) - GRAM + 1
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_LETTER[flat] * _powers(_BASE, len(flat)), dtype=np.uint64)])
     gram = mix64((sums[GRAM:] - sums[:-GRAM]) * _powers(_UNBASE, n))
@@ -83,12 +84,13 @@ def cut(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     least = least[start]
     first = np.flatnonzero((np.diff(least.astype(np.int64), prepend=-1) != 0) | (np.diff(owner, prepend=-1) != 0))
     count = np.diff(np.append(first, len(least)))
-    return least[first] >> np.uint64(PLACE), owner[first], start[first] - at[owner[first]], count + LENGTH - 1
+    gram_at = (least[first] & low).astype(np.int64) - start[first]
+    return least[first] >> np.uint64(PLACE), owner[first], start[first] - at[owner[first]], count + LENGTH - 1, gram_at
 
 
 def _pack(*arrays: np.ndarray, data: bytes = b"") -> bytes:
     head = np.array([len(a) for a in arrays], np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join([a.astype(np.int64).tobytes() for a in arrays]) + data)
+    return zstandard.ZstdCompressor(level=3).compress(head + b"".join([a.astype(np.int64).tobytes() for a in arrays]) + data)
 
 
 def _unpack(blob: bytes, n: int) -> tuple[list[np.ndarray], bytes]:
@@ -104,23 +106,23 @@ class Places:
     """Segments with their first place; every other place is a removed span."""
 
     def __init__(self) -> None:
-        self.first: dict[bytes, tuple[int, int, int]] = {}  # segment -> (doc, start, key)
+        self.first: dict[bytes, tuple[int, int, int, int]] = {}  # segment -> (doc, start, key, place of the gram)
         self.gone: list[tuple[int, int, int]] = []  # (doc, start, end)
 
-    def add(self, seg: bytes, doc: int, start: int, key: int) -> None:
+    def add(self, seg: bytes, doc: int, start: int, key: int, gram: int = 0) -> None:
         old = self.first.get(seg)
         if old is None:
-            self.first[seg] = (doc, start, key)
+            self.first[seg] = (doc, start, key, gram)
         elif (doc, start) < old[:2]:
             self.gone.append((old[0], old[1], old[1] + len(seg)))
-            self.first[seg] = (doc, start, key)
+            self.first[seg] = (doc, start, key, gram)
         elif (doc, start) != old[:2]:
             self.gone.append((doc, start, start + len(seg)))
 
     def bucket_rows(self, buckets: int) -> pa.RecordBatch:
         """One compressed row for each bucket: keys, places and bytes of its segments, and removed spans."""
         segs = list(self.first)
-        place = np.array(list(self.first.values()), np.int64).reshape(-1, 3)
+        place = np.array(list(self.first.values()), np.int64).reshape(-1, 4)
         size = np.array([len(s) for s in segs], np.int64)
         to = (mix64(place[:, 2].astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(to, kind="stable")
@@ -133,16 +135,16 @@ class Places:
         rows = []
         for k in range(len(ids)):
             mine, out = order[a[k] : b[k]], gone[gone_order[c[k] : d[k]]]
-            rows.append(_pack(place[mine, 2], place[mine, 0], place[mine, 1], size[mine], out[:, 0], out[:, 1], out[:, 2],
+            rows.append(_pack(place[mine, 2], place[mine, 0], place[mine, 1], place[mine, 3], size[mine], out[:, 0], out[:, 1], out[:, 2],
                               data=b"".join([segs[i] for i in mine.tolist()])))
         return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(rows, pa.binary())], ["bucket", "blob"])
 
     def read(self, blob: bytes) -> None:
-        (key, doc, start, size, g0, g1, g2), data = _unpack(blob, 7)
+        (key, doc, start, gram, size, g0, g1, g2), data = _unpack(blob, 8)
         self.gone += zip(g0.tolist(), g1.tolist(), g2.tolist())
         at = 0
-        for k, d, s, n in zip(key.tolist(), doc.tolist(), start.tolist(), size.tolist()):
-            self.add(data[at : at + n], d, s, k)
+        for k, d, s, g, n in zip(key.tolist(), doc.tolist(), start.tolist(), gram.tolist(), size.tolist()):
+            self.add(data[at : at + n], d, s, k, g)
             at += n
 
 
@@ -151,9 +153,9 @@ def _segments(buckets: int):
         held, seen = Places(), 0
         for b in slices(batches, "text", 1 << 20):
             for ids, offsets, texts in _pieces(b.column("id").to_pylist(), utf8(b.column("text"))):
-                key, owner, start, size = cut(texts)
-                for k, o, s, n in zip(key.astype(np.int64).tolist(), owner.tolist(), start.tolist(), size.tolist()):
-                    held.add(texts[o][s : s + n], ids[o], offsets[o] + s, k)
+                key, owner, start, size, gram = cut(texts)
+                for k, o, s, n, g in zip(key.astype(np.int64).tolist(), owner.tolist(), start.tolist(), size.tolist(), gram.tolist()):
+                    held.add(texts[o][s : s + n], ids[o], offsets[o] + s, k, g)
                 seen += sum(map(len, texts))
             if seen >= FLUSH_BYTES:
                 yield held.bucket_rows(buckets)
@@ -257,6 +259,28 @@ def repeats(segs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(doc), np.concatenate(off), np.concatenate(cls)
 
 
+def _company(segs: list[bytes], order: np.ndarray, key: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    """Which of the segments (in the order of their gram) can share a window with another one.
+
+    A window is its gram and LENGTH - GRAM bytes around it, so half of those lie on one side: two
+    segments that share a window have the same gram with HALF bytes before it, or after it."""
+    ok = np.zeros(len(order), bool)
+    if not len(order):
+        return ok
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    count = np.diff(np.append(first, len(key)))
+    for a, n in zip(first[count > 1].tolist(), count[count > 1].tolist()):
+        sides: dict[tuple[bool, bytes], int] = {}
+        for i in range(a, a + n):
+            s, g = segs[order[i]], int(gram[i])
+            for side in ((False, s[g - HALF : g + GRAM]) if g >= HALF else None, (True, s[g : g + GRAM + HALF]) if len(s) >= g + GRAM + HALF else None):
+                if side is not None:
+                    other = sides.setdefault(side, i)
+                    if other != i:
+                        ok[other] = ok[i] = True
+    return ok
+
+
 def _later(segs: list[bytes], place: np.ndarray) -> np.ndarray:
     """Removed (doc, start, end) at the first places of segments: windows whose string has an earlier place."""
     doc, off, cls = repeats(segs)
@@ -305,9 +329,10 @@ def _find(buckets: int):
             yield _by_doc(np.array(held.gone, np.int64))
         held.gone = []
         segs = list(held.first)
-        place = np.array(list(held.first.values()), np.int64).reshape(-1, 3)
+        place = np.array(list(held.first.values()), np.int64).reshape(-1, 4)
         held.first = {}
         order = np.argsort(place[:, 2], kind="stable")
+        order = order[_company(segs, order, place[order, 2], place[order, 3])]
         place = place[order]
         first = np.flatnonzero(np.append(True, place[1:, 2] != place[:-1, 2])) if len(place) else np.zeros(0, np.int64)
         count = np.diff(np.append(first, len(place)))
@@ -322,7 +347,7 @@ def _find(buckets: int):
             if n > CHUNK:
                 apart = Places()
                 for i in range(a, a + n):
-                    seg, (doc, start, _) = segs[order[i]], place[i].tolist()
+                    seg, (doc, start, _, _) = segs[order[i]], place[i].tolist()
                     for o in range(len(seg) - LENGTH + 1):
                         w = seg[o : o + LENGTH]
                         apart.add(w, doc, start + o, int.from_bytes(hashlib.blake2b(w, digest_size=7).digest(), "little"))
@@ -378,11 +403,10 @@ def removed_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id is not null and octet_length(text) >= 100")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = partitions_for(total * GROWTH, PARTITION_BYTES, spark)
-    buckets = n * BUCKETS_PER_PARTITION
-    found = docs.mapInArrow(_segments(buckets), "bucket long, blob binary").repartition(n, "bucket").mapInArrow(
-        _find(buckets), "bucket long, id long, blob binary")
+    deal = lambda df: df.repartitionById(n, F.col("bucket").cast("int"))  # noqa: E731  a bucket is a partition
+    found = deal(docs.mapInArrow(_segments(n), "bucket long, blob binary")).mapInArrow(_find(n), "bucket long, id long, blob binary")
     found = materialise(found)
-    crowded = found.filter("bucket >= 0").select("bucket", "blob").repartition(n, "bucket").mapInArrow(_windows, "bucket long, id long, blob binary")
+    crowded = deal(found.filter("bucket >= 0").select("bucket", "blob")).mapInArrow(_windows, "bucket long, id long, blob binary")
     return found.filter("bucket < 0").union(crowded).groupBy("id").agg(F.collect_list("blob").alias("parts"))
 
 
