@@ -102,7 +102,8 @@ def online(df: DataFrame, members: Mapping[str, str], weights: Mapping[str, floa
            rul_digits: int | None = 2, confidence_digits: int | None = 3) -> DataFrame:
     """Serving ensemble: weighted mean over present members, confidence
     clamp(1 - std_pop / (mean + 1e-6), 0, 1) (0.8 with one member), RUL clipped
-    to [0, 125], rounded to 2 (RUL) and 3 (confidence) half-even like Python."""
+    to [0, 125], rounded to 2 (RUL) and 3 (confidence) half-even like Python.  A row
+    without any member is an error row: RUL -1, confidence 0 (M14)."""
     arr = member_array(members)
     n = F.size(arrays.present(arr))
     mean = arrays.arr_mean(arr)
@@ -111,7 +112,7 @@ def online(df: DataFrame, members: Mapping[str, str], weights: Mapping[str, floa
     rul = F.least(F.greatest(effective_weighted(members, weights), F.lit(0.0)), F.lit(ONLINE_MAX_RUL))
     return df.select(
         "*",
-        F.when(n > 0, half_even(rul, rul_digits) if rul_digits is not None else rul).alias("rul"),
-        F.when(n > 0, half_even(conf, confidence_digits) if confidence_digits is not None else conf).alias("confidence"),
+        F.when(n > 0, half_even(rul, rul_digits) if rul_digits is not None else rul).otherwise(F.lit(-1.0)).alias("rul"),
+        F.when(n > 0, half_even(conf, confidence_digits) if confidence_digits is not None else conf).otherwise(F.lit(0.0)).alias("confidence"),
         F.when(n > 0, F.lit("ensemble")).otherwise(F.lit("error")).alias("model_type"),
     )

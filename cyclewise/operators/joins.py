@@ -7,33 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast by explicit check only if its row count is at most this.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def bounded_rows(df: DataFrame, limit: int = BROADCAST_MAX_ROWS) -> bool:
-    """True if ``df`` has at most ``limit`` rows; reads at most limit+1 rows."""
-    return df.limit(limit + 1).count() <= limit
-
-
 def join_small(
     big: DataFrame,
     small: DataFrame,
     on: Sequence[str] | F.Column,
     how: str = "inner",
     known_small: bool = False,
-    check_rows: int | None = None,
 ) -> DataFrame:
     """Equi join where ``small`` is expected to be small.
 
     * ``known_small``: the side is bounded by construction (one row per feature x
       bin, a rule table, a fixed grid): broadcast hint.
-    * ``check_rows``: count with a bounded probe first; broadcast only under it.
     * otherwise: a plain join.  AQE measures the shuffled size of both sides at
       runtime and turns it into a broadcast join only below
       ``spark.sql.adaptive.autoBroadcastJoinThreshold``; beyond that it stays a
       sort-merge join whose skewed partitions AQE splits.
     """
-    if known_small or (check_rows is not None and bounded_rows(small, check_rows)):
+    if known_small:
         return big.join(F.broadcast(small), on=on, how=how)
     return big.join(small, on=on, how=how)

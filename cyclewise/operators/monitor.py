@@ -178,25 +178,11 @@ def histogram_quantiles(
     return c.select(*cols)
 
 
-def grid_is_small(log: DataFrame, step_s: int = 30, limit: int | None = None) -> bool:
-    """True when an evaluation grid over the log's time span has at most
-    ``limit`` steps per label set (one min / max over the timestamp column)."""
-    from .scan import PLAIN_MAX_ROWS
-
-    r = log.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
-    if r["lo"] is None:
-        return True
-    return (r["hi"] - r["lo"]).total_seconds() / step_s + 1 <= (limit or PLAIN_MAX_ROWS)
-
-
-def alert_episodes(evals: DataFrame, keys: Sequence[str], ts: str, cond: str, hold_s: int | str, step_s: int,
-                   plain: bool = False) -> DataFrame:
+def alert_episodes(evals: DataFrame, keys: Sequence[str], ts: str, cond: str, hold_s: int | str, step_s: int) -> DataFrame:
     """Threshold alerts with hold time as gaps-and-islands over an
     evaluation grid.  ``evals``: one row per (keys, ts) evaluation on a
     ``step_s`` grid with a boolean ``cond``; consecutive true evaluations form an
-    island; it fires once ts - island start >= hold.  ``plain=True`` (the grid
-    per key is known to be bounded, see ``grid_is_small``) uses one ordered
-    window per key instead of the bucketed scan.
+    island; it fires once ts - island start >= hold.
 
     Skew-safe: an island starts where the evaluation one step earlier is not
     true (an equi anti join on (keys, ts - step)); the island start of every
@@ -219,7 +205,7 @@ def alert_episodes(evals: DataFrame, keys: Sequence[str], ts: str, cond: str, ho
     prev = t.select(*keys, (F.col("_sec") + F.lit(step_s)).alias("_sec"))
     starts = t.join(prev, [*keys, "_sec"], "left_anti").select(*keys, "_sec", F.col("_sec").alias("_start"))
     marked = t.join(starts, [*keys, "_sec"], "left")
-    r = running(marked, keys, ["_sec"], F.floor(F.col("_sec") / F.lit(86400)), maxs=["_start"], pos=None, plain=plain)
+    r = running(marked, keys, ["_sec"], F.floor(F.col("_sec") / F.lit(86400)), maxs=["_start"], pos=None)
     firing = (F.col("_sec") - F.col("max__start")) >= hold
     return r.groupBy(*keys, "max__start").agg(
         F.min(ts).alias("started_at"),
@@ -253,8 +239,7 @@ def monitoring_metrics(log: DataFrame, labels: Sequence[str] = ("model_type",))
     return er.unionByName(p95).unionByName(p99).filter(F.col("value").isNotNull())
 
 
-def evaluate_rules(metrics: DataFrame, rules: DataFrame, labels: Sequence[str] = ("model_type",), step_s: int = 30,
-                   plain: bool = False) -> DataFrame:
+def evaluate_rules(metrics: DataFrame, rules: DataFrame, labels: Sequence[str] = ("model_type",), step_s: int = 30) -> DataFrame:
     """O11 with the rules as rows of a table: join each metric sample to its rules
     (the rule table is small by construction: broadcast), evaluate the
     comparison, then held-alert islands per (rule, labels)."""
@@ -265,17 +250,18 @@ def evaluate_rules(metrics: DataFrame, rules: DataFrame, labels: Sequence[str] =
         .otherwise(F.col("value") == F.col("threshold"))
     )
     ev = j.withColumn("cond", cond)
-    return alert_episodes(ev, ["rule", *labels], "window_start", "cond", "hold_s", step_s, plain=plain)
+    return alert_episodes(ev, ["rule", *labels], "window_start", "cond", "hold_s", step_s)
 
 
 def evaluation_grid(df: DataFrame, labels: Sequence[str], slide_s: int = 30, width_s: int = 300) -> DataFrame:
-    """Every evaluation instant (window start) from the first to the last window
-    per label set, including empty ones (O12: silence needs the empty steps).
+    """Every evaluation instant (window start) from a label set's first window to the
+    end of the log, including empty ones (O12: a label set that stops stays silent).
     Generated day by day (two explodes), so no single row fans out to the whole span."""
     slot = slot_of(F.col("ts"), slide_s)
     k = width_s // slide_s
     per_day = 86400 // slide_s
-    span = df.groupBy(*labels).agg((F.min(slot) - F.lit(k - 1)).alias("_lo"), F.max(slot).alias("_hi"))
+    end = df.agg(F.max(slot)).first()[0]  # one number: the log ends for all label sets at once
+    span = df.groupBy(*labels).agg((F.min(slot) - F.lit(k - 1)).alias("_lo"), F.lit(end).cast("long").alias("_hi"))
     days = span.select(*labels, "_lo", "_hi", F.explode(F.sequence(F.floor(F.col("_lo") / per_day), F.floor(F.col("_hi") / per_day))).alias("_d"))
     days = days.repartition(*labels, "_d")
     lo = F.greatest(F.col("_lo"), F.col("_d") * per_day)

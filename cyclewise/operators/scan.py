@@ -23,25 +23,6 @@ from pyspark.sql import functions as F
 
 from .joins import join_small
 
-# Keys with at most this many rows may be scanned in one ordered window task.
-PLAIN_MAX_ROWS = 2_000_000
-
-
-def plain_ok(df: DataFrame, keys: Sequence[str], limit: int = PLAIN_MAX_ROWS) -> bool:
-    """True when every key holds at most ``limit`` rows (one map-side combined
-    count over the key columns): then one ordered window per key is bounded and
-    cheaper than the bucketed scan."""
-    if not keys:
-        n = df.count()
-    else:
-        n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return (n or 0) <= limit
-
-
-def resolve_plain(df: DataFrame, keys: Sequence[str], plain) -> bool:
-    return plain_ok(df, keys) if plain == "auto" else bool(plain)
-
-
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -53,7 +34,6 @@ def running(
     pos: str | None = "pos",
     prefix: str = "cum_",
     keep_bucket: bool = False,
-    plain: bool = False,
 ) -> DataFrame:
     """Add ``pos`` (1-based row number within key) and inclusive running
     ``cum_<c>`` sums, ``min_<c>`` minima and ``max_<c>`` maxima along ``order``.
@@ -63,16 +43,6 @@ def running(
     (``keep_bucket=True``) lets nested scans reuse its partitioning.
     """
     keys, order = list(keys), list(order)
-    if plain:  # every key is known to be small: one ordered window per key
-        w = Window.partitionBy(*keys).orderBy(*order)
-        run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        cols = [F.col(c) for c in df.columns]
-        if pos:
-            cols.append(F.row_number().over(w).cast("long").alias(pos))
-        cols += [F.sum(c).over(run).alias(f"{prefix}{c}") for c in sums]
-        cols += [F.min(c).over(run).alias(f"min_{c}") for c in mins]
-        cols += [F.max(c).over(run).alias(f"max_{c}") for c in maxs]
-        return df.select(*cols)
     b = df if isinstance(bucket, str) and bucket == "_bkt" and "_bkt" in df.columns else df.withColumn("_bkt", bucket)
     local = Window.partitionBy(*keys, "_bkt").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rn = Window.partitionBy(*keys, "_bkt").orderBy(*order)

@@ -25,8 +25,6 @@ from pyspark.sql import functions as F
 from ..schema import LIBRARY_LAGS, LIBRARY_WINDOWS, delta_name, lag_name, rolling_name
 
 ROLLING_STATS = ("mean", "std", "min", "max")
-# A trajectory longer than this is cut into halo chunks when split_rows="auto".
-AUTO_SPLIT_ROWS = 1_000_000
 NULL_POLICIES = ("fill", "drop", "serve")
 
 
@@ -150,8 +148,8 @@ def _stacked_stages(channels, windows, stats, unit, order, extra_keys):
         for c in channels:
             blocks = lambda n: [f"`__{c}__{n}{a}`"] + [f"lag(`__{c}__{n}{a}`, {a * j}) {plain}" for j in range(1, k)]
             items += [
-                " + ".join([blocks("s")[0]] + [f"coalesce({x}, 0D)" for x in blocks("s")[1:]]) + f" AS `__{c}__s{b}`",
-                " + ".join([blocks("n")[0]] + [f"coalesce({x}, 0L)" for x in blocks("n")[1:]]) + f" AS `__{c}__n{b}`",
+                " + ".join([f"coalesce({x}, 0D)" for x in blocks("s")]) + f" AS `__{c}__s{b}`",
+                " + ".join([f"coalesce({x}, 0L)" for x in blocks("n")]) + f" AS `__{c}__n{b}`",
                 f"least({', '.join(blocks('mn'))}) AS `__{c}__mn{b}`",
                 f"greatest({', '.join(blocks('mx'))}) AS `__{c}__mx{b}`",
             ]
@@ -175,19 +173,6 @@ def _halo_chunks(df: DataFrame, order: str, split_rows: int, halo: int) -> DataF
     return own.unionByName(copies)
 
 
-def hottest_unit_rows(df: DataFrame, unit: str = "unit_id") -> int:
-    """Rows of the largest unit: a map-side combined count over the unit column only."""
-    r = df.groupBy(unit).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return int(r or 0)
-
-
-def resolve_split(df: DataFrame, split_rows, unit: str = "unit_id", limit: int = AUTO_SPLIT_ROWS):
-    """``"auto"``: chunk only if some unit exceeds ``limit`` rows (one probe job)."""
-    if split_rows == "auto":
-        return limit if hottest_unit_rows(df, unit) > limit else None
-    return split_rows
-
-
 def add_features(
     df: DataFrame,
     channels: Sequence[str],
@@ -208,17 +193,16 @@ def add_features(
     first delta -> 0), ``drop`` (pipeline: leave nulls, then drop the rows),
     ``serve`` (serving: lag -> 0, delta -> 0, std -> 0).
     ``extra``: more window expressions over the same spec (e.g. the RUL label).
-    ``split_rows``: None (one window partition per unit), an int (halo chunks of
-    that many cycles), or ``"auto"`` (chunks only when a unit is larger than
-    ``AUTO_SPLIT_ROWS``).
+    ``split_rows``: None (one window partition per unit) or an int (halo chunks of
+    that many cycles).
     ``stack``: when the windows form a multiple chain (5, 10, 20), longer-window
     mean / min / max are combined from the shortest window's blocks
     (``_stacked_stages``): same partitioning and order, no extra exchange or sort.
     """
-    split_rows = resolve_split(df, split_rows, unit)
     halo = max([w - 1 for w in windows] + list(lags) + [1 if delta else 0] + [0])
     if split_rows:
-        base = _halo_chunks(df, order, split_rows, halo)
+        # dealt by (unit, chunk) even where the input is already dealt by unit
+        base = _halo_chunks(df, order, split_rows, halo).repartition(unit, "_chunk")
         keys = ["_chunk"]
     else:
         base = df
@@ -240,7 +224,7 @@ def add_features(
         final = {}
         for w in windows:
             for c in channels:
-                final[rolling_name(c, "mean", w)] = F.expr(f"`__{c}__s{w}` / `__{c}__n{w}`")
+                final[rolling_name(c, "mean", w)] = F.expr(f"`__{c}__s{w}` / nullif(`__{c}__n{w}`, 0)")
                 final[rolling_name(c, "min", w)] = F.col(f"__{c}__mn{w}")
                 final[rolling_name(c, "max", w)] = F.col(f"__{c}__mx{w}")
         names = feature_columns(channels, windows, stats, lags, delta)
@@ -273,7 +257,7 @@ def add_sequences(
     input: pass only the channels needed and ``dtype="float"`` to halve it.
     """
     if split_rows:
-        base = _halo_chunks(df, order, split_rows, length - 1)
+        base = _halo_chunks(df, order, split_rows, length - 1).repartition(unit, "_chunk")
         spec = unit_window(unit, order, extra_keys=["_chunk"])
     else:
         base = df

@@ -79,8 +79,8 @@ def _online_sql() -> str:
     return (
         BASE
         + f"""SELECT unit_id, time_cycle,
-  CASE WHEN len({P}) > 0 THEN round(least(greatest({w}, 0.0), 125.0), 6) END AS rul,
-  CASE WHEN len({P}) > 0 THEN round_even({conf} * 1000.0, 0) / 1000.0 END AS confidence,
+  CASE WHEN len({P}) > 0 THEN round(least(greatest({w}, 0.0), 125.0), 6) ELSE -1.0 END AS rul,
+  CASE WHEN len({P}) > 0 THEN round_even({conf} * 1000.0, 0) / 1000.0 ELSE 0.0 END AS confidence,
   CASE WHEN len({P}) > 0 THEN 'ensemble' ELSE 'error' END AS model_type FROM members"""
     )
 
@@ -176,7 +176,7 @@ def q_v4(spark, sf_dir):
     .join(["SELECT min_by(model, rmse) AS best_model, min(rmse) AS best_rmse, count(*) AS valid_models FROM (", ") WHERE error IS NULL"]),
 )
 def q_v5(spark, sf_dir):
-    return present(evaluate.select_best(present(_v3(spark, sf_dir), 4), "rmse"), 4)
+    return present(evaluate.select_best(_v3(spark, sf_dir), "rmse"), 4)
 
 
 @register(
@@ -185,7 +185,7 @@ def q_v5(spark, sf_dir):
     .join(["SELECT max_by(model, r2) AS best_model, max(r2) AS best_r2, count(*) AS valid_models FROM (", ") WHERE error IS NULL"]),
 )
 def q_m10(spark, sf_dir):
-    return present(evaluate.select_best(present(_v3(spark, sf_dir), 4), "r2"), 4)
+    return present(evaluate.select_best(_v3(spark, sf_dir), "r2"), 4)
 
 
 @register(
@@ -227,5 +227,5 @@ def q_v7(spark, sf_dir):
     + ")",
 )
 def q_m13(spark, sf_dir):
-    m = present(evaluate.regression_metrics(_long(spark, sf_dir), by=["model"]), 4)
-    return evaluate.quality_gate(m).select("model", "rmse", "r2", "r2_ok", "rmse_ok", "gate_passed")
+    m = evaluate.regression_metrics(_long(spark, sf_dir), by=["model"])  # the gate decides before rounding
+    return present(evaluate.quality_gate(m).select("model", "rmse", "r2", "r2_ok", "rmse_ok", "gate_passed"), 4)

@@ -56,7 +56,7 @@ def flagship(spark, sf_dir):
     """Telemetry -> RUL (clip 125) -> rolling mean/std/min/max, lags, deltas: one exchange."""
     t = tables.telemetry_lineitem(spark, sf_dir).drop("l_shipdate")
     out = windows.add_features(
-        t, CH, WINDOWS, windows.ROLLING_STATS, LAGS, True, "fill", extra=[labels.rul_expr()], split_rows="auto"
+        t, CH, WINDOWS, windows.ROLLING_STATS, LAGS, True, "fill", extra=[labels.rul_expr()], split_rows=None
     )
     return present(out)
 

@@ -211,8 +211,8 @@ SELECT model_type, {ts_sql('min(sec)')} AS started_at, {ts_sql('max(sec)')} AS e
 FROM j GROUP BY model_type, island"""
 
 
-def _episodes(ev, hold, plain=False):
-    e = monitor.alert_episodes(ev, ["model_type"], "window_start", "cond", hold, 30, plain=plain)
+def _episodes(ev, hold):
+    e = monitor.alert_episodes(ev, ["model_type"], "window_start", "cond", hold, 30)
     return e.select("model_type", fmt(F.col("started_at")).alias("started_at"), fmt(F.col("ended_at")).alias("ended_at"), "evaluations",
                     fmt(F.col("fired_at")).alias("fired_at"), "firing_evaluations")
 
@@ -224,13 +224,13 @@ def _episodes(ev, hold, plain=False):
 def q_o11(spark, sf_dir):
     log = _log(spark, sf_dir)
     er = monitor.error_ratio(log).withColumn("cond", F.col("error_ratio") > monitor.ERROR_RATIO_WARNING)
-    return _episodes(er, 300, plain=monitor.grid_is_small(log))
+    return _episodes(er, 300)
 
 
 @register(
     "o12_silence_alert",
     with_(PREDICTION_LOG, *ER_CTE,
-          "span AS (SELECT model_type, min(slot) - 9 AS lo, max(slot) AS hi FROM s GROUP BY model_type)",
+          "span AS (SELECT model_type, min(slot) - 9 AS lo, (SELECT max(slot) FROM s) AS hi FROM s GROUP BY model_type)",
           "grid AS (SELECT model_type, unnest(range(lo, hi + 1)) AS st FROM span)").rstrip()
     + _episodes_sql("SELECT grid.model_type, grid.st * 30 AS sec FROM grid LEFT JOIN w ON grid.model_type = w.model_type AND grid.st = w.st WHERE coalesce(w.n, 0) = 0", 300),
 )
@@ -239,7 +239,7 @@ def q_o12(spark, sf_dir):
     grid = monitor.evaluation_grid(log, ["model_type"])
     r_ = monitor.rates(log, ["model_type"]).select("model_type", "window_start", "rate")
     ev = grid.join(r_, ["model_type", "window_start"], "left").withColumn("cond", F.coalesce(F.col("rate"), F.lit(0.0)) == 0)
-    return _episodes(ev, 300, plain=monitor.grid_is_small(log))
+    return _episodes(ev, 300)
 
 
 @register(
@@ -376,6 +376,6 @@ RULES_SQL = "rules AS (SELECT * FROM (VALUES " + ", ".join(
 )
 def q_o11_rules(spark, sf_dir):
     log = _log(spark, sf_dir)
-    ep = monitor.evaluate_rules(monitor.monitoring_metrics(log), monitor.rules_table(spark), plain=monitor.grid_is_small(log))
+    ep = monitor.evaluate_rules(monitor.monitoring_metrics(log), monitor.rules_table(spark))
     return ep.select("rule", "model_type", "hold_s", fmt(F.col("started_at")).alias("started_at"), fmt(F.col("ended_at")).alias("ended_at"),
                      "evaluations", fmt(F.col("fired_at")).alias("fired_at"), "firing_evaluations")

@@ -39,7 +39,8 @@ def sliding_rates(log: DataFrame, width: str = "5 minutes", slide: str = "30 sec
         .groupBy(F.window("event_time", slide).alias("s"), "model_type", "status")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("latency_s").alias("latency_sum"))
     )
-    width_s = int(width.split()[0]) * (60 if "minute" in width else 1)
+    count, unit = width.split()
+    width_s = int(count) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}[unit.rstrip("s")]
     return (
         slots.groupBy(F.window(F.window_time("s"), width, slide).alias("w"), "model_type", "status")
         .agg(F.sum("n").alias("n"), F.sum("latency_sum").alias("latency_sum"))

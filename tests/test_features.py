@@ -105,15 +105,6 @@ def test_telemetry_view_dense_cycles(spark):
     assert per.filter("n != mx OR n != nd").count() == 0
 
 
-def test_auto_split_kicks_in_for_hot_unit(f1a, monkeypatch):
-    _, df = f1a
-    a = windows.add_features(df, CH, [5], ["mean", "max"], [1], True, "fill", extra=[labels.rul_expr()]).orderBy("unit_id", "time_cycle").toPandas()
-    monkeypatch.setattr(windows, "AUTO_SPLIT_ROWS", 6)
-    assert windows.resolve_split(df, "auto", limit=6) == 6
-    b = windows.add_features(df, CH, [5], ["mean", "max"], [1], True, "fill", extra=[labels.rul_expr()], split_rows=6).orderBy("unit_id", "time_cycle").toPandas()
-    pd.testing.assert_frame_equal(a, b[a.columns])
-
-
 def test_skew_safe_cycle_numbering_equals_row_number(spark):
     a = tables.telemetry_lineitem(spark, SF_SMALL).orderBy("unit_id", "time_cycle").toPandas()
     b = tables.telemetry_lineitem(spark, SF_SMALL, skew_safe=True).orderBy("unit_id", "time_cycle").toPandas()
@@ -146,3 +137,21 @@ def test_stacked_windows_with_halo_chunks_equal_frames(spark):
     b = windows.add_features(df, CH, [5, 10, 20], windows.ROLLING_STATS, [1, 5], True, "fill", split_rows=25, extra=[labels.rul_expr()]).orderBy("unit_id", "time_cycle").toPandas()
     assert list(b.columns[: len(df.columns)]) == df.columns
     pd.testing.assert_frame_equal(a, b[a.columns], check_exact=False, rtol=1e-12)
+
+
+def test_stacked_mean_after_a_run_of_nulls(spark):
+    from cyclewise.operators.windows import add_features
+
+    df = spark.createDataFrame([(1, i, float(i) if i <= 5 else None) for i in range(1, 31)], "unit_id int, time_cycle int, x double")
+    a, b = (add_features(df, ["x"], windows=(5, 10, 20), lags=(), delta=False, stack=s).orderBy("time_cycle").toPandas() for s in (True, False))
+    import pandas as pd
+
+    pd.testing.assert_frame_equal(a, b[a.columns])
+
+
+def test_split_windows_are_dealt_by_chunk(f1a):
+    _, df = f1a
+    a = windows.add_features(df, CH, [5], ["mean", "max"], [1], True, "fill").orderBy("unit_id", "time_cycle").toPandas()
+    out = windows.add_features(df, CH, [5], ["mean", "max"], [1], True, "fill", split_rows=6)
+    assert "hashpartitioning(unit_id" in (plan := out._jdf.queryExecution().executedPlan().toString()) and "_chunk" in plan.split("hashpartitioning(unit_id", 1)[1][:40]
+    pd.testing.assert_frame_equal(a, out.orderBy("unit_id", "time_cycle").toPandas()[a.columns])
