@@ -50,7 +50,7 @@ class _WordHash(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 150_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -113,6 +113,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array([k.tolist() if ok else [] for k, ok in zip(keys, some)], pa.list_(pa.int64())),
             pa.array([(s & np.uint32(255)).astype(np.uint8).tobytes() for s in sig], pa.binary())],
             ["id", "n_shingles", "print", "bands", "sketch"])
+    _HASHES.clear()  # a reused worker keeps no words for the stages that follow
 
 
 def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,6 +131,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [shingle_set(t).view(np.int64) for t in utf8(b.column("text"))]
         at = np.cumsum([0, *map(len, found)]).astype(np.int32)
         yield pa.RecordBatch.from_arrays([b.column("id"), pa.ListArray.from_arrays(at, pa.array(np.concatenate(found), pa.int64()))], ["id", "s"])
+    _HASHES.clear()
 
 
 def _links(pairs: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:

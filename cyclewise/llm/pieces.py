@@ -28,7 +28,7 @@ from .common import ragged, slices
 
 MARK = "▁"
 NORMAL, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 3, 4, 5, 6  # fixed values: piece types of the model format
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 NO_PAIR = np.int64(2**62)
 
 
@@ -213,7 +213,7 @@ class Words(dict):
 def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", 2 << 20):
             known = _WORDS.setdefault(path, Words())
             if len(known) > CACHE_WORDS:
                 known = _WORDS[path] = Words()

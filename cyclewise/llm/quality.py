@@ -111,7 +111,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Scorer | None:
     """A scorer learned from ``docs`` (training rows only) and the labels of some of them."""
     known = labels.filter(F.col(label_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).alias("y"))
-    rows = docs.select(id_col, F.col(text_col).alias("text")).join(known, id_col, "left")
+    rows = docs.select(id_col).join(known, id_col, "left")  # ids and labels only
     n, pos, lab = rows.agg(F.count(F.lit(1)), F.sum((F.col("y") == 1).cast("long")), F.count("y")).first()
     if not pos:
         return None
@@ -119,8 +119,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     v = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("unlabelled")), F.lit(1_000_003)) / 1_000_003.0
     kinds = F.array_compact(F.array(
         F.when((F.col("y") == 1) & (u < min(1.0, SAMPLE_DOCS / pos)), 1), F.when(v < min(1.0, SAMPLE_DOCS / n), 0)))
-    # the sample is chosen on ids and labels, so only the sampled texts leave the scan
-    got = rows.withColumn("kinds", kinds).filter(F.size("kinds") > 0).select(F.explode("kinds").alias("kind"), "text").mapInArrow(_extract, "kind int, x binary").toArrow()
+    # the sampled ids are about 2 x SAMPLE_DOCS at any size, so they go to the texts, not the texts to them
+    picked = rows.withColumn("kinds", kinds).filter(F.size("kinds") > 0).select(id_col, "kinds").dropDuplicates([id_col])
+    got = docs.select(id_col, F.col(text_col).alias("text")).join(F.broadcast(picked), id_col).select(
+        F.explode("kinds").alias("kind"), "text").mapInArrow(_extract, "kind int, x binary").toArrow()
     x = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float32).reshape(-1, FEATURES).astype(np.float64)
     kind = got.column("kind").to_numpy()
     order = np.lexsort(x.T)  # the same order whatever the partitions
