@@ -224,6 +224,7 @@ def _encode(path: str):
             yield pa.RecordBatch.from_arrays([
                 b.column("row"), pa.array([x.count(" ") + 1 for x in ids], pa.int64()), pa.array(ids, pa.string()),
                 pa.array([known.decoded(ws) for ws in texts], pa.string())], ["row", "n_tokens", "ids", "decoded"])
+        _WORDS.clear()  # a reused worker keeps no words for the stages that follow
     return run
 
 
