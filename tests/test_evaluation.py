@@ -58,7 +58,7 @@ def test_ensemble_kernels(spark):
     conf = [r["c"] for r in df.select(ensemble.agreement_confidence(M).alias("c")).collect()]
     assert conf[0] == pytest.approx(1 / (1 + 5 / 10)) and conf[1] == 1.0
     on = ensemble.online(df, M).collect()
-    assert on[1]["model_type"] == "error" and on[1]["rul"] is None
+    assert on[1]["model_type"] == "error" and on[1]["rul"] == -1.0 and on[1]["confidence"] == 0.0  # M14: the error row
     with pytest.raises(ValueError):
         ensemble.validate_weights({"a": 0.5, "b": 0.2})
 
