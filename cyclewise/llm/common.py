@@ -6,6 +6,8 @@ other columns, whatever their names, are never touched.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 import uuid
 from collections.abc import Iterator
@@ -53,6 +55,21 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = SLIC
             yield batch.slice(a, b - a)
 
 
+def tidy(run):
+    """``run`` (a function of record batches), after which the worker gives its free memory back.
+
+    Workers serve many tasks of many stages; what one of them leaves free but mapped counts against
+    the next one's executor."""
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim is not None:
+            trim(0)
+    return tidied
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The texts of a string column as UTF-8 bytes; null is empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import flat_bytes, ragged, slices, utf8
+from .common import flat_bytes, ragged, slices, tidy, utf8
 
 WINDOW = 256
 EMBED = 4
@@ -204,4 +204,4 @@ def keep_identified(df: DataFrame, net: Network | None, text_col: str = "text")
     """The whole rows of ``df`` whose text has a language (is not ``und``), unchanged and unshuffled."""
     packed = df.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
     schema = T.StructType([T.StructField("row", packed.schema["row"].dataType), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return packed.mapInArrow(_predict(net), schema).filter(F.col("lang_pred") != UNKNOWN).select("row.*")
+    return packed.mapInArrow(tidy(_predict(net)), schema).filter(F.col("lang_pred") != UNKNOWN).select("row.*")

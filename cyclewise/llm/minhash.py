@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, slices, utf8
+from .common import materialise, slices, tidy, utf8
 from .components import components
 
 PERMUTATIONS = 72
@@ -237,13 +237,13 @@ def _rest(buckets: DataFrame, comp: DataFrame, reps: DataFrame, sets: DataFrame)
     spread = lambda df: df.repartition(*key).sortWithinPartitions(*key)
     near = materialise(spread(rows.join(reps.select("id", "n_shingles", "sketch"), "id")).mapInArrow(
         _hopeful, "band long, i int, j int, block int, id long, component long"))
-    return spread(near.join(sets, "id")).mapInArrow(_confirm, "a long, b long")
+    return spread(near.join(sets, "id")).mapInArrow(tidy(_confirm), "a long, b long")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row of ``df``."""
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    signed = materialise(docs.mapInArrow(_sign, "id long, n_shingles long, print binary, bands array<long>, sketch binary"))
+    signed = materialise(docs.mapInArrow(tidy(_sign), "id long, n_shingles long, print binary, bands array<long>, sketch binary"))
     full = signed.filter("n_shingles > 0 and id is not null")
     classes = materialise(full.groupBy("print").agg(F.min("id").alias("rep")))  # copies: combined before the shuffle
     reps = materialise(full.join(classes, "print").filter("id = rep").drop("rep").dropDuplicates(["print"]))
@@ -254,7 +254,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # the sets of all members of buckets, read once more from the texts; a merge join at every size,
     # as the ids grow with the input
     ids = buckets.select("id").distinct().hint("merge")
-    sets = materialise(docs.join(ids, "id", "left_semi").mapInArrow(_sets, "id long, s array<long>").dropDuplicates(["id"]))
+    sets = materialise(docs.join(ids, "id", "left_semi").mapInArrow(tidy(_sets), "id long, s array<long>").dropDuplicates(["id"]))
 
     def star(pairs: DataFrame) -> DataFrame:
         pairs = pairs.select(F.greatest("id", "p").alias("a"), F.least("id", "p").alias("b")).filter("a != b").distinct()

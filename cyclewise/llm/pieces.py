@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ragged, slices
+from .common import ragged, slices, tidy
 
 MARK = "▁"
 NORMAL, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 3, 4, 5, 6  # fixed values: piece types of the model format
@@ -250,7 +250,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 def digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256) of every row, computed where the ids are made."""
     got = df.select(F.col(id_col).alias("row"), F.col(text_col).alias("text")).mapInArrow(
-        _digest(path), _schema(df, id_col, "n_tokens long, ids_sha256 string, decoded_sha256 string"))
+        tidy(_digest(path)), _schema(df, id_col, "n_tokens long, ids_sha256 string, decoded_sha256 string"))
     return got.withColumnRenamed("row", id_col)
 
 

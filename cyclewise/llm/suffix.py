@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import flat_bytes, materialise, partitions_for, slices, utf8
+from .common import flat_bytes, materialise, partitions_for, slices, tidy, utf8
 from .minhash import mix64
 
 LENGTH = 100
@@ -41,8 +41,8 @@ GRAM = 24
 SPAN = LENGTH - GRAM + 1  # grams in a window
 HALF = (LENGTH - GRAM) // 2
 CHUNK = 16384  # documents of one construction
-FLUSH_BYTES = 8 << 20  # text of one set of bucket rows
-PARTITION_BYTES = 24 << 20  # segment bytes aimed at in a partition
+FLUSH_BYTES = 5 << 20  # text of one set of bucket rows
+PARTITION_BYTES = 12 << 20  # segment bytes aimed at in a partition
 GROWTH = 3.4  # segment bytes to a byte of text
 SPOOL_BYTES = 64 << 20
 PIECE_BYTES = 2 << 20  # a longer text is cut up for the search
@@ -90,14 +90,15 @@ def cut(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
 
 def _pack(*arrays: np.ndarray, data: bytes = b"") -> bytes:
     head = np.array([len(a) for a in arrays], np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=3).compress(head + b"".join([a.astype(np.int64).tobytes() for a in arrays]) + data)
+    planes = [a.astype(np.int64).view(np.uint8).reshape(-1, 8).T.tobytes() for a in arrays]  # bytes of like weight side by side
+    return zstandard.ZstdCompressor(level=3).compress(head + b"".join(planes) + data)
 
 
 def _unpack(blob: bytes, n: int) -> tuple[list[np.ndarray], bytes]:
     raw = zstandard.ZstdDecompressor().decompress(blob)
     at, out = 8 * n, []
     for k in np.frombuffer(raw[: 8 * n], np.int64).tolist():
-        out.append(np.frombuffer(raw, np.int64, k, at))
+        out.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, 8 * k, at).reshape(8, k).T).view(np.int64).reshape(-1))
         at += 8 * k
     return out, raw[at:]
 
@@ -382,19 +383,28 @@ def whole_text(raw: bytes) -> bytes:
     return raw.decode(errors="ignore").encode()
 
 
-def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    press = zstandard.ZstdCompressor(level=3)
     for b in slices(batches, "text"):
+        packed = [None if t is None else press.compress(t) for t in b.column("text").cast(pa.binary()).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column("row"), b.column("_id"), pa.array(packed, pa.binary())], ["row", "_id", "packed"])
+
+
+def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    unpress = zstandard.ZstdDecompressor()
+    for b in slices(batches, "packed", 1 << 20):
         out = []
-        for t, parts in zip(utf8(b.column("text")), b.column("parts").to_pylist()):
+        for packed, parts in zip(b.column("packed").to_pylist(), b.column("parts").to_pylist()):
+            t = b"" if packed is None else unpress.decompress(packed)
             spans = spans_of(parts)
             keep, at = [], 0
             for a, z in spans.tolist():
                 keep.append(t[at:a])
                 at = z
-            out.append((len(t), int((spans[:, 1] - spans[:, 0]).sum()), len(spans), b"".join([*keep, t[at:]])))
-        n, r, s, k = zip(*out)
-        yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(n, pa.int64()), pa.array(r, pa.int64()), pa.array(s, pa.int64()), pa.array(k, pa.binary())],
-                                         ["row", "n_bytes", "n_removed", "n_spans", "kept"])
+            out.append((packed is not None, len(t), int((spans[:, 1] - spans[:, 0]).sum()), len(spans), b"".join([*keep, t[at:]])))
+        h, n, r, s, k = zip(*out)
+        yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(h), pa.array(n, pa.int64()), pa.array(r, pa.int64()), pa.array(s, pa.int64()), pa.array(k, pa.binary())],
+                                         ["row", "has_text", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
 def removed_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -404,20 +414,24 @@ def removed_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = partitions_for(total * GROWTH, PARTITION_BYTES, spark)
     deal = lambda df: df.repartitionById(n, F.col("bucket").cast("int"))  # noqa: E731  a bucket is a partition
-    found = deal(docs.mapInArrow(_segments(n), "bucket long, blob binary")).mapInArrow(_find(n), "bucket long, id long, blob binary")
+    found = deal(docs.mapInArrow(tidy(_segments(n)), "bucket long, blob binary")).mapInArrow(tidy(_find(n)), "bucket long, id long, blob binary")
     found = materialise(found)
-    crowded = deal(found.filter("bucket >= 0").select("bucket", "blob")).mapInArrow(_windows, "bucket long, id long, blob binary")
+    crowded = deal(found.filter("bucket >= 0").select("bucket", "blob")).mapInArrow(tidy(_windows), "bucket long, id long, blob binary")
     return found.filter("bucket < 0").union(crowded).groupBy("id").agg(F.collect_list("blob").alias("parts"))
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row of ``df`` as a struct ``row``, with n_bytes, n_removed, n_spans and the kept bytes."""
+    """Every row of ``df`` as a struct ``row`` of its columns but the text, with has_text (it was not
+    null), n_bytes, n_removed, n_spans and the kept bytes.  Texts travel compressed."""
     gone = removed_spans(df, id_col, text_col)
-    packed = df.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("text"))
+    rest = F.struct(*[df[c] for c in df.columns if c != text_col])
+    rows = df.select(rest.alias("row"), df[id_col].cast("long").alias("_id"), df[text_col].alias("text"))
+    row = rows.schema["row"]
+    packed = rows.mapInArrow(tidy(_squeeze), T.StructType([row, *T.StructType.fromDDL("_id long, packed binary").fields]))
     # a merge join at every size: both sides grow with the corpus
-    both = packed.join(gone.select(F.col("id").alias("_id"), "parts").hint("merge"), "_id", "left").select("row", "text", "parts")
-    schema = T.StructType([both.schema["row"], *T.StructType.fromDDL("n_bytes long, n_removed long, n_spans long, kept binary").fields])
-    return both.mapInArrow(_kept, schema)
+    both = packed.join(gone.select(F.col("id").alias("_id"), "parts").hint("merge"), "_id", "left").select("row", "packed", "parts")
+    schema = T.StructType([row, *T.StructType.fromDDL("has_text boolean, n_bytes long, n_removed long, n_spans long, kept binary").fields])
+    return both.mapInArrow(tidy(_kept), schema)
 
 
 def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -425,10 +439,11 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     A character of which only a part is left goes as a whole; a null text stays null."""
     got = remove_repeats(df, id_col, text_col)
-    valid = got.mapInArrow(_valid, T.StructType([got.schema["row"], T.StructField("text", T.StringType())]))
-    return valid.select(*[F.when(F.col(f"row.`{c}`").isNotNull(), F.col("text")).alias(c) if c == text_col else F.col(f"row.`{c}`") for c in df.columns])
+    valid = got.mapInArrow(tidy(_valid), T.StructType([got.schema["row"], T.StructField("text", T.StringType())]))
+    return valid.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in df.columns])
 
 
 def _valid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches, "kept"):
-        yield pa.RecordBatch.from_arrays([b.column("row"), pa.array([whole_text(x) for x in b.column("kept").to_pylist()], pa.binary()).cast(pa.string())], ["row", "text"])
+        left = [whole_text(x) if some else None for some, x in zip(b.column("has_text").to_pylist(), b.column("kept").to_pylist())]
+        yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(left, pa.binary()).cast(pa.string())], ["row", "text"])
