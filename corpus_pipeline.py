@@ -15,6 +15,8 @@ from cyclewise.llm import langid, minhash, mixing, pieces, suffix
 from cyclewise.llm.common import fold, materialise, table
 from cyclewise.llm.queries import piece_model
 
+NEAR_PERCENT = 80  # similarity of word shingle sets at which the stage takes two documents for one
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a language is found; those without text or without a letter go."""
@@ -23,10 +25,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id.
+    """One document of each group of near duplicates (similarity 0.80 or more): the one with the smallest id.
 
     Rows that repeat the kept id are one document and stay together."""
-    kept = minhash.near_duplicates(docs).filter("kept or doc_id is null").select(F.col("doc_id").alias("_kept")).distinct()
+    kept = minhash.near_duplicates(docs, percent=NEAR_PERCENT).filter("kept or doc_id is null").select(F.col("doc_id").alias("_kept")).distinct()
     # a merge join at every size: both sides grow with the corpus
     return docs.join(kept.hint("merge"), docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
 

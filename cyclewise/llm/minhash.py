@@ -9,7 +9,8 @@ pairs of bounded blocks, and each block pair gives only a spanning forest of its
 bucket emits all its pairs, and no candidate link between different components is left out.
 Links are confirmed on the full sets of 64-bit shingle hashes.
 
-At similarity 0.85 a pair misses all 24 bands with probability (1 - 0.85^6)^24 = 1.2e-5.
+The similarity of a link is an argument.  At 0.85 a pair misses all 24 bands with probability
+(1 - 0.85^6)^24 = 1.2e-5, at 0.80 with (1 - 0.80^6)^24 = 6.8e-4.
 
 Results for odd input: null text and text without words have an empty set, link with nothing and
 form a component of their own; fewer than five words count as one shingle; rows that repeat an id
@@ -18,6 +19,7 @@ each get a row; a null id keeps its row with a null component; an empty table gi
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,10 +36,7 @@ PERMUTATIONS = 72
 BANDS = 24
 ROWS = 6
 WORDS = 5
-PERCENT = 85
-# Signature values (of 2 x PERMUTATIONS) that must agree before sets are compared: at similarity
-# 0.85 the mean is 122 with a deviation of about 5, so this lies over five deviations below.
-AGREE = 94
+PERCENT = 85  # the similarity of op9
 BLOCK = 512  # members in a block of a large bucket
 
 _rng = np.random.default_rng(20240607)
@@ -46,6 +45,14 @@ _ADD = _rng.integers(0, 2**32, PERMUTATIONS, dtype=np.uint32)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
+def agree(percent: int) -> int:
+    """Signature values (of 2 x PERMUTATIONS) that must agree before sets are compared.
+
+    6.6 binomial deviations below the mean of a pair at the threshold: 94 at 85, 83 at 80."""
+    n, p = 2 * PERMUTATIONS, percent / 100
+    return max(0, math.floor(n * p - 6.6 * math.sqrt(n * p * (1 - p))))
+
+
 class _WordHash(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
@@ -116,14 +123,18 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     _HASHES.clear()  # a reused worker keeps no words for the stages that follow
 
 
-def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keep the pairs whose sketches agree in AGREE values and whose set sizes allow a link."""
-    for b in batches:
-        if b.num_rows:
-            s, t = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(b.num_rows, -1) for c in ("sa", "sb"))
-            n, m = (b.column(c).to_numpy() for c in ("na", "nb"))
-            ok = ((s == t).sum(axis=1) >= AGREE) & (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m))
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(ok))
+def _close(percent: int):
+    """Keep the pairs whose sketches agree in enough values and whose set sizes allow a link."""
+    least = agree(percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                s, t = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(b.num_rows, -1) for c in ("sa", "sb"))
+                n, m = (b.column(c).to_numpy() for c in ("na", "nb"))
+                ok = ((s == t).sum(axis=1) >= least) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+                yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(ok))
+    return run
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,15 +145,15 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     _HASHES.clear()
 
 
-def _links(pairs: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that are links: sketches first, then the full sets."""
     side = reps.select("id", "n_shingles", "sketch")
     near = (pairs.join(side.toDF("a", "na", "sa"), "a").join(side.toDF("b", "nb", "sb"), "b")
-            .mapInArrow(_close, "a long, b long"))
+            .mapInArrow(_close(percent), "a long, b long"))
     both = near.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
     shared = F.size(F.array_intersect("x", "y"))
     return both.select("a", "b", shared.alias("i"), (F.size("x") + F.size("y") - shared).alias("u")).filter(
-        F.col("i") * 100 >= F.col("u") * PERCENT).select("a", "b")
+        F.col("i") * 100 >= F.col("u") * percent).select("a", "b")
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,18 +181,22 @@ def _across(b: pa.RecordBatch) -> np.ndarray:
     return ok
 
 
-def _hopeful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _hopeful(percent: int):
     """Members of a block pair whose sketch allows a link to a member of another component."""
-    for b in _blocks(batches):
-        s = np.frombuffer(b"".join(b.column("sketch").to_pylist()), np.uint8).reshape(b.num_rows, -1)
-        n = b.column("n_shingles").to_numpy()
-        ok = _across(b)
-        ok &= 100 * np.minimum(n[:, None], n[None, :]) >= PERCENT * np.maximum(n[:, None], n[None, :])
-        some = np.zeros(len(s), bool)
-        for k in np.flatnonzero(ok.any(axis=1)).tolist():
-            some[k] = ((s[ok[k]] == s[k]).sum(axis=1) >= AGREE).any()
-        if some.any():
-            yield b.filter(pa.array(some)).select(["band", "i", "j", "block", "id", "component"])
+    least = agree(percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _blocks(batches):
+            s = np.frombuffer(b"".join(b.column("sketch").to_pylist()), np.uint8).reshape(b.num_rows, -1)
+            n = b.column("n_shingles").to_numpy()
+            ok = _across(b)
+            ok &= 100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :])
+            some = np.zeros(len(s), bool)
+            for k in np.flatnonzero(ok.any(axis=1)).tolist():
+                some[k] = ((s[ok[k]] == s[k]).sum(axis=1) >= least).any()
+            if some.any():
+                yield b.filter(pa.array(some)).select(["band", "i", "j", "block", "id", "component"])
+    return run
 
 
 def _forest(ok: np.ndarray) -> list[tuple[int, int]]:
@@ -199,31 +214,33 @@ def _forest(ok: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _confirm(percent: int):
     """Exact comparison inside a block pair; a spanning forest of its links goes out, never all of them."""
-    for b in _blocks(batches):
-        n = b.num_rows
-        lists = b.column("s")
-        size = pc.list_value_length(lists).to_numpy().astype(np.int64)
-        owner = np.repeat(np.arange(n), size)
-        kinds, col = np.unique(lists.flatten().to_numpy(), return_inverse=True)
-        order = np.argsort(col, kind="stable")
-        col, owner = col[order], owner[order]
-        shared = np.zeros((n, n), np.float32)
-        for c in range(0, len(kinds), 4096):
-            x, y = np.searchsorted(col, [c, c + 4096])
-            m = np.zeros((n, 4096), np.float32)
-            m[owner[x:y], col[x:y] - c] = 1
-            shared += m @ m.T
-        ok = _across(b) & (100 * shared >= PERCENT * (size[:, None] + size[None, :] - shared))
-        edges = _forest(ok)
-        if edges:
-            ids = b.column("id").to_numpy()
-            e = np.array(edges)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[e[:, 0]]), pa.array(ids[e[:, 1]])], ["a", "b"])
-
-
-def _rest(buckets: DataFrame, comp: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _blocks(batches):
+            n = b.num_rows
+            lists = b.column("s")
+            size = pc.list_value_length(lists).to_numpy().astype(np.int64)
+            owner = np.repeat(np.arange(n), size)
+            kinds, col = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+            order = np.argsort(col, kind="stable")
+            col, owner = col[order], owner[order]
+            shared = np.zeros((n, n), np.float32)
+            for c in range(0, len(kinds), 4096):
+                x, y = np.searchsorted(col, [c, c + 4096])
+                m = np.zeros((n, 4096), np.float32)
+                m[owner[x:y], col[x:y] - c] = 1
+                shared += m @ m.T
+            ok = _across(b) & (100 * shared >= percent * (size[:, None] + size[None, :] - shared))
+            edges = _forest(ok)
+            if edges:
+                ids = b.column("id").to_numpy()
+                e = np.array(edges)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[e[:, 0]]), pa.array(ids[e[:, 1]])], ["a", "b"])
+    return run
+
+
+def _rest(buckets: DataFrame, comp: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between components inside buckets of three or more, by blocks of about BLOCK members.
 
     Every pair of blocks is one bounded piece of work; a large bucket becomes many of them."""
@@ -236,12 +253,12 @@ def _rest(buckets: DataFrame, comp: DataFrame, reps: DataFrame, sets: DataFrame)
     key = ["band", "i", "j"]
     spread = lambda df: df.repartition(*key).sortWithinPartitions(*key)
     near = materialise(spread(rows.join(reps.select("id", "n_shingles", "sketch"), "id")).mapInArrow(
-        _hopeful, "band long, i int, j int, block int, id long, component long"))
-    return spread(near.join(sets, "id")).mapInArrow(tidy(_confirm), "a long, b long")
+        _hopeful(percent), "band long, i int, j int, block int, id long, component long"))
+    return spread(near.join(sets, "id")).mapInArrow(tidy(_confirm(percent)), "a long, b long")
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id, kept) for every row of ``df``."""
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """(id, n_shingles, component_id, kept) for every row of ``df``; ``percent`` is the similarity of a link."""
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed = materialise(docs.mapInArrow(tidy(_sign), "id long, n_shingles long, print binary, bands array<long>, sketch binary"))
     full = signed.filter("n_shingles > 0 and id is not null")
@@ -258,7 +275,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def star(pairs: DataFrame) -> DataFrame:
         pairs = pairs.select(F.greatest("id", "p").alias("a"), F.least("id", "p").alias("b")).filter("a != b").distinct()
-        return materialise(_links(pairs, reps, sets))
+        return materialise(_links(pairs, reps, sets, percent))
 
     links = star(buckets.select("id", F.col("pivot").alias("p")))
     comp = materialise(components(links))
@@ -269,7 +286,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     again = now.join(split.select("band", "m.id", "m.component").toDF("band", "p", "pc"), "band").filter("component != pc")
     links = links.union(star(again.select("id", "p")))
     comp = materialise(components(links))
-    links = links.union(materialise(_rest(buckets, comp, reps, sets)))
+    links = links.union(materialise(_rest(buckets, comp, reps, sets, percent)))
     comp = components(links)
     member = classes.join(comp, classes["rep"] == comp["id"], "left").select("print", F.coalesce("component", "rep").alias("component_id"))
     out = signed.select("id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("print")).alias("print")).join(member, "print", "left")

@@ -123,7 +123,7 @@ def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 @query()
