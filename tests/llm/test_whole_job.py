@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 
 import corpus_pipeline
-from cyclewise.llm import minhash
+from cyclewise.llm import minhash, rules
 
 
 def _shingles(text: str) -> set:
@@ -46,3 +48,46 @@ def test_near_duplicate_stage_links_from_80_percent(spark):
 
 def test_agreement_follows_the_similarity():
     assert minhash.agree(85) == 94 and minhash.agree(80) == 83
+
+
+def test_junk_is_rejected_in_languages_with_few_labels(spark):
+    """Four languages of 260 labelled good documents each, none with a symbol; the junk has one in three words."""
+    r = np.random.default_rng(9)
+    rows, labels = [], []
+    for k, lang in enumerate(["de", "en", "es", "fr"]):
+        for j in range(280):
+            i = 1000 * k + j
+            ws = [f"{lang}{x}word" for x in r.integers(0, 10**6, 80)]
+            rows.append((i, " ".join(w + "#" * (j >= 260 and at % 3 == 0) for at, w in enumerate(ws)), lang))
+            if j < 270:
+                labels.append((i, int(j < 260)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = rules.judge(docs, spark.createDataFrame(labels, "doc_id long, quality int")).collect()
+    assert not any(x["base_failed"] for x in got)
+    assert {x["doc_id"] for x in got if not x["kept"]} == {i for i, _, _ in rows if i % 1000 >= 260}
+
+
+def test_rule_vectors():
+    """Levels: cutoffs exceeded by a document for each of the five rules (of 8, 8, 8, 7 and 5)."""
+    clean, junk = (0, 0, 0, 0, 0), (4, 0, 0, 0, 0)
+    way = rules.path(Counter({junk: 10}))
+    assert all(sum(b) == sum(a) + 1 and all(x <= y for x, y in zip(a, b)) for a, b in zip(way, way[1:]))
+    assert way[4] == (5, 0, 0, 0, 0) and way[-1] == (8, 8, 8, 7, 5)
+    assert rules.refused((4, 0, 0, 0, 0), Counter({junk: 10})) == 0 and rules.refused((5, 0, 0, 0, 0), Counter({junk: 10})) == 10
+    level = rules.DELTA / 4
+    assert rules.choose(Counter({clean: 217}), Counter({junk: 10}), rules.RISK, level)[0] == 8
+    assert rules.choose(Counter({clean: 216}), Counter({junk: 10}), rules.RISK, level) == clean
+    # good documents with many symbols end the path at once; the other rules are still certified alone
+    got = rules.choose(Counter({clean: 3000, (8, 0, 0, 0, 0): 1000}), Counter({junk: 10, (0, 3, 0, 0, 0): 5}), rules.RISK, level)
+    assert got == (0, 8, 8, 7, 5)
+
+
+def test_rules_hold_the_risk():
+    """Good documents of which just RISK are refused: certified in no more than the level of samples."""
+    r = np.random.default_rng(10)
+    wrong = 0
+    for _ in range(2000):
+        k = int(r.binomial(2000, rules.RISK))
+        v = rules.choose(Counter({(0,) * 5: 2000 - k, (8, 0, 0, 0, 0): k}), Counter({(8, 0, 0, 0, 0): 3}), rules.RISK, 0.05)
+        wrong += v[0] > 0
+    assert wrong <= 0.05 * 2000
