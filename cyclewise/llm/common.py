@@ -43,6 +43,22 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, column: str, first: int = 0) -> DataFrame:
+    """``df`` written to the shared folder, its rows numbered first, first + 1, ... in the order of its partitions.
+
+    The rows are numbered within their partitions; only one count for each partition meets the driver."""
+    kept = materialise(df.withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright(F.col("_at"), 33).cast("long")
+    counts = sorted((r["_p"], r["count"]) for r in kept.groupBy(part.alias("_p")).count().collect())
+    starts, at = [], first
+    for p, n in counts:
+        starts.append((p, at))
+        at += n
+    before = df.sparkSession.createDataFrame(starts, "_p long, _before long")
+    joined = kept.join(F.broadcast(before), part == F.col("_p"))
+    return joined.withColumn(column, F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).drop("_at", "_p", "_before")
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each holds about ``max_bytes`` of ``column`` (one row at least)."""
     for batch in batches:

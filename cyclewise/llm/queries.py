@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, langid, lm, minhash, mixing, pieces, quality, rans, rules, suffix
+from . import ann, html, langid, lm, minhash, mixing, phrases, pieces, quality, rans, rules, suffix, variants
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,74 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), piece_model())
+
+
+# Distinct words of documents with the deletion rule, near words by deletion of one code point,
+# forms followed step by step; CRC-32 by its table, made from the polynomial.
+VARIANT_SQL = r"""
+WITH RECURSIVE tab AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i))),
+runs AS (
+  SELECT id, run, count(*) AS k FROM (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+           translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{7,}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents)
+  GROUP BY ALL),
+hexed AS (SELECT *, hex(id || ':' || run) AS x FROM runs),
+crc AS (
+  SELECT run, k, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(len(x) // 2), lambda j: ('0x' || substr(x, (2 * j + 1)::BIGINT, 2))::BIGINT)),
+         lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) AS h FROM hexed, tab),
+res AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM crc),
+w AS (SELECT word, sum(k)::BIGINT AS n FROM res WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+d AS (SELECT word, n, p, substr(word, 1, p) || substr(word, p + 2) AS v FROM w, unnest(range(length(word))) u(p)),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM d a JOIN d b ON a.v = b.v AND a.p = b.p AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM d a JOIN w b ON a.v = b.word
+  UNION SELECT b.word, a.word, a.n FROM d a JOIN w b ON a.v = b.word),
+best AS (SELECT word, count(*) AS n_near, max(n) AS m FROM near GROUP BY word),
+pick AS (SELECT best.word, n_near, m, min(other) AS other FROM best JOIN near ON near.word = best.word AND near.n = m GROUP BY ALL),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * w.n THEN other END AS form, CASE WHEN m >= 10 * w.n THEN m END AS form_n
+      FROM w LEFT JOIN pick ON pick.word = w.word),
+chain AS (SELECT word, word AS last, 0 AS step FROM f UNION ALL SELECT chain.word, f.form, step + 1 FROM chain JOIN f ON f.word = chain.last WHERE f.form IS NOT NULL)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, r.root FROM f JOIN (SELECT word, arg_max(last, step) AS root FROM chain GROUP BY word) r ON r.word = f.word
+"""
+
+
+@query(VARIANT_SQL)
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
+# Phrases spelled out and counted as strings; scores in 128-bit integers.
+PHRASE_SQL = r"""
+WITH words AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS ws FROM documents),
+total AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, 1 AS size, unnest(ws) AS p FROM words
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(ws)), lambda i: array_to_string(ws[i : i + 1], ' '))) FROM words
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i : i + 2], ' '))) FROM words
+  UNION ALL SELECT lang, 4, unnest(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i : i + 3], ' '))) FROM words),
+f AS MATERIALIZED (SELECT lang, size, p, string_split(p, ' ') AS ws, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 30),
+longer AS (SELECT lang, q, max(a) AS longest FROM (
+  SELECT lang, array_to_string(ws[1 : size - 1], ' ') AS q, a FROM f WHERE size > 2 UNION ALL SELECT lang, array_to_string(ws[2 : size], ' '), a FROM f WHERE size > 2) GROUP BY ALL),
+kept AS (SELECT f.* FROM f LEFT JOIN longer ON longer.lang = f.lang AND longer.q = f.p WHERE size > 1 AND (longest IS NULL OR 100 * longest::HUGEINT < 80 * f.a::HUGEINT)),
+parts AS (SELECT lang, p, a, k, array_to_string(ws[1 : k], ' ') AS head, array_to_string(ws[k + 1 : size], ' ') AS tail FROM (SELECT *, unnest(range(1, size)) AS k FROM kept)),
+cuts AS (
+  SELECT parts.lang, parts.p, parts.a, k, l.a AS l, r.a AS r, (2000000 * parts.a::HUGEINT) // (l.a::HUGEINT + r.a::HUGEINT) AS score
+  FROM parts JOIN f l ON l.lang = parts.lang AND l.p = head JOIN f r ON r.lang = parts.lang AND r.p = tail),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank FROM best)
+SELECT lang, rank, p AS phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
+@query(PHRASE_SQL)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(table(spark, sf_dir, "pages"))
