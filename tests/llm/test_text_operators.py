@@ -60,6 +60,7 @@ def _spelled(seed: int):
         ws = list(r.choice(base[: 1 + int(r.integers(1, 60))], 20))
         rows.append((i, " ".join(ws) + ("," if i % 2 else "\x00"), "en"))
     rows += [rows[0], rows[7], (None, rows[3][1], None), (500, None, "en"), (501, "", "en"), (502, "×÷Āabcdefg abcdefg1", "en")]
+    rows += [(700, " ".join(["chainword"] * 300 + ["chainwerd"] * 25 + ["chaiwerd"] * 2), "en")]
     long_ = "ab" * 400
     return rows + [(600, f"{long_} {long_}x {long_}", "en"), (601, f"{long_}x {long_[:-1]} {long_[:-1]}", "en")]
 
