@@ -204,7 +204,6 @@ def test_article_with_surroundings(spark):
     by = {r["page_id"]: r for r in got}
     want = "Head <1>\nFirst text goes on\nSecond link © é🙂 &lt;\none\ntwo"
     assert by[1]["text"] == by[2]["text"] == want and by[1]["n_chars"] == len(want)
-    assert by[2]["n_shared"] == by[2]["n_lines"]  # a copy of its partner
     assert (by[3]["text"], by[4]["text"], by[5]["text"], by[5]["n_chars"], by[None]["text"]) == ("just this", "", "", 0, "plain < text")
     assert by[6]["text"].startswith("a <\nb")
     assert html.main_text(_pages(spark, rows).limit(0)).count() == 0
