@@ -95,24 +95,44 @@ def _closed(vocabulary: _Numbers, texts: list[np.ndarray]) -> tuple[_Numbers, li
     return vocabulary, texts
 
 
+def _order(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stable order of non-negative keys, and the keys in it: one sort of (key, place) as a single number where both fit."""
+    bits = len(key).bit_length()
+    if len(key) and int(key.max()) < 1 << (63 - bits):
+        both = np.sort(key << bits | np.arange(len(key)))
+        return both & ((1 << bits) - 1), both >> bits
+    order = np.argsort(key, kind="stable")
+    return order, key[order]
+
+
+def _counted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and how often each occurs."""
+    key = np.sort(key)
+    at = np.flatnonzero(np.diff(key, prepend=-1))
+    return key[at], np.diff(np.append(at, len(key)))
+
+
 class Index:
     """Both Burrows-Wheeler transforms of word numbers; 0 is the break between pieces."""
 
     def __init__(self, ids: np.ndarray):
-        self.gids, t = np.unique(np.concatenate([[0], ids, [0]]), return_inverse=True)
-        t = t.astype(np.int64)
+        order, sorted_ = _order(np.concatenate([[0], ids, [0]]).astype(np.int64))
+        new = np.diff(sorted_, prepend=-1) > 0
+        self.gids = sorted_[new]
+        t = np.empty(len(order), np.int64)
+        t[order] = np.cumsum(new) - 1
         self.n, self.v = len(t), len(self.gids)
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(t, minlength=self.v))])
+        self.first = np.append(np.flatnonzero(new), self.n)
         self.sides = (self._transform(t), self._transform(t[::-1]))
 
     def _transform(self, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The symbol before every suffix in sorted order, and the (symbol, place) pairs in order."""
-        two = np.unique(t * self.v + np.roll(t, -1), return_inverse=True)[1]
-        four = two * (int(two.max()) + 1) + np.roll(two, -2)
-        order = np.argsort(four, kind="stable")
+        order, sorted_ = _order(t * self.v + np.roll(t, -1))
+        two = np.empty(self.n, np.int64)
+        two[order] = np.cumsum(np.diff(sorted_, prepend=-1) > 0) - 1
+        order, _ = _order(two * (int(two.max()) + 1) + np.roll(two, -2))
         before = t[order - 1]
-        places = np.argsort(before, kind="stable")
-        return before, before[places] * (self.n + 1) + places
+        return before, np.sort(before * (self.n + 1) + np.arange(self.n))
 
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The intervals of all single words: (phrases, start forward, start backward, size)."""
@@ -125,7 +145,7 @@ class Index:
         before, pairs = self.sides[0 if left else 1]
         here, there = (fwd, back) if left else (back, fwd)
         owner = np.repeat(np.arange(len(size)), size)
-        kinds, counts = np.unique(owner * self.v + before[ragged(here, size)], return_counts=True)
+        kinds, counts = _counted(owner * self.v + before[ragged(here, size)])
         own, word = np.divmod(kinds, self.v)
         ends = np.cumsum(counts)
         smaller = ends - counts  # occurrences beside smaller words, of this interval and those before it
@@ -145,13 +165,17 @@ class Index:
         return np.stack([g[:, 0] << 32 | g[:, 1], g[:, 2] << 32 | g[:, 3]], axis=1)
 
 
+def _mixed(keys: np.ndarray) -> np.ndarray:
+    return (keys[:, 0].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (keys[:, 1].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+
+
 def _within(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Which rows of ``keys`` are rows of ``known``."""
-    code = np.zeros(len(keys) + len(known), np.int64)
-    for i in range(2):  # both columns numbered densely, so that the pair is one number again
-        kinds, at = np.unique(np.concatenate([keys[:, i], known[:, i]]), return_inverse=True)
-        code = code * len(kinds) + at
-    return np.isin(code[: len(keys)], code[len(keys) :])
+    """Which rows of ``keys`` may be rows of ``known`` (by hash): none of those is missed, and one too many
+    is counted for nothing, as its sum decides."""
+    if not len(known):
+        return np.zeros(len(keys), bool)
+    index, probe = np.sort(_mixed(known)), _mixed(keys)
+    return index[np.minimum(np.searchsorted(index, probe), len(index) - 1)] == probe
 
 
 def enumerate_level(ids: np.ndarray, known: dict[int, np.ndarray], level: int) -> tuple[np.ndarray, np.ndarray]:
@@ -199,12 +223,10 @@ def _counter(level: int, buckets: int):
         rows: dict[str, list] = {"bucket": [], "shard": [], "hi": [], "lo": [], "n": []}
         for shard, blob in zip(shards.column("shard").to_pylist(), shards.column("ids").to_pylist()):
             keys, counts = enumerate_level(np.frombuffer(blob, np.int32), known, level)
-            mixed = (keys[:, 0].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (keys[:, 1].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-            bucket = ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-            for part in np.split(order, cuts) if len(order) else ():
-                rows["bucket"].append(int(bucket[part[0]]))
+            order, bucket = _order(((_mixed(keys) >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64))
+            cuts = np.flatnonzero(np.diff(bucket)) + 1
+            for at, part in zip([0, *cuts.tolist()], np.split(order, cuts)) if len(order) else ():
+                rows["bucket"].append(int(bucket[at]))
                 rows["shard"].append(shard)
                 rows["hi"].append(keys[part, 0].tobytes())
                 rows["lo"].append(keys[part, 1].tobytes() if level > 2 else b"")

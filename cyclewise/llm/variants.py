@@ -205,7 +205,8 @@ def _merge(mu: int, a: int, c: int, group: np.ndarray, entry: np.ndarray, length
         after = np.where(moved.any(axis=1), mu - moved[:, ::-1].argmax(axis=1), 0)  # the rest after it in common
         ok = (after <= place) & (place >= a) & ((place < mu - c) | (c == 0))
         got.append(x[ok] * len(every) + y[ok])
-    pair = np.unique(np.concatenate([np.zeros(0, np.int64), *got]))
+    pair = np.sort(np.concatenate([np.zeros(0, np.int64), *got]))
+    pair = pair[np.diff(pair, prepend=-1) > 0]
     x, y = np.divmod(pair, len(every))
     ids = np.concatenate([se, le])
     found.add(ids[x], ids[y])
