@@ -78,14 +78,19 @@ def tidy(run):
     the next one's executor."""
     def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
-        if trim is not None:
-            trim(0)
+        give_back()
     return tidied
 
 
+def give_back() -> None:
+    """The worker's free memory, given back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The texts of a string column as UTF-8 bytes; null is empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

@@ -33,14 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialise, numbered, partitions_for, ragged, slices, tidy, utf8
+from .common import give_back, materialise, numbered, partitions_for, ragged, slices, tidy, utf8
 
 MIN_COUNT = 30
 MAX_WORDS = 4
 TOP = 2000
 SCALE = 2_000_000
 CONTAINED_PERCENT = 80
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 1_500_000
 BUCKET_BYTES = 24 << 20
 SLICE_PHRASES = 200_000  # phrases that one task ranks at first
 
@@ -231,6 +231,7 @@ def _counter(level: int, buckets: int):
                 rows["hi"].append(keys[part, 0].tobytes())
                 rows["lo"].append(keys[part, 1].tobytes() if level > 2 else b"")
                 rows["n"].append(counts[part].astype(np.int64).tobytes())
+        give_back()
         kinds = {"bucket": pa.int64(), "shard": pa.int64(), "hi": pa.binary(), "lo": pa.binary(), "n": pa.binary()}
         return pa.table({c: pa.array(v, kinds[c]) for c, v in rows.items()})
 

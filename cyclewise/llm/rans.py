@@ -23,12 +23,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .common import materialise, partitions_for, slices
+from .common import materialise, partitions_for, ragged, slices
 
 END = 0
 LANES = 64
@@ -37,12 +38,16 @@ BLOCK_IDS = 1 << 16  # a block is closed when it has so many ids
 SCALE = 20  # bits of the frequency table's total
 LOW = np.uint64(1 << 31)  # states stay in [2^31, 2^63)
 WORD = np.uint64(32)
-UNITS = 600_000  # distinct units remembered by a worker
+UNITS = 1_200_000  # distinct units remembered by a worker
 TOGETHER = 512  # units in one call of the library
 FILE_BYTES = 24 << 20  # text aimed at in a file
-GROUP = 24  # blocks coded side by side
+TEXT_BYTES = 12 << 20  # text encoded at a time
+GROUP = 96  # blocks coded side by side
 
 _CUT = re.compile(r" (?=\S)")
+_MARKS = ".,;:!?"
+# a space before white space or the end, where cutting at every space would go wrong
+_WIDE = r" ([\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|\z)"
 
 
 @lru_cache(maxsize=2)
@@ -61,48 +66,105 @@ def _library(path: str):
 
 
 class Units:
-    """Ids of units (as little-endian bytes), remembered up to a bound."""
+    """Ids of units, remembered up to a bound: a unit's number leads to its run in one array of ids."""
 
     def __init__(self, path: str) -> None:
         self.lib, self.special, self.size = _library(path)
         self.kind = np.dtype("<u2" if len(self.size) <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[str, int] = {}  # of units that follow a cut, without its space
+        self.start, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.ids, self.used, self.n = np.zeros(1 << 18, self.kind), 0, 0
+
+    def _room(self, units: int, ids: int) -> None:
+        if self.n + units > len(self.start):
+            self.start, self.length = (np.resize(x, 2 * (self.n + units)) for x in (self.start, self.length))
+        if self.used + ids > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * (self.used + ids))
+
+    def add(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Numbers of new runs: ``ids`` in a row, cut into ``lengths``."""
+        self._room(len(lengths), len(ids))
+        out = np.arange(self.n, self.n + len(lengths))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.start[out], self.length[out] = self.used + np.cumsum(lengths) - lengths, lengths
+        self.used += len(ids)
+        self.n += len(lengths)
+        return out
 
-    def learn(self, units: set[str]) -> None:
-        """``units``: what follows a cut, without its space."""
-        known = self.known
-        new = [u for u in units if u not in known]
-        parts = [new[i : i + TOGETHER] for i in range(0, len(new), TOGETHER)]
+    def whole(self, texts: list[str]) -> np.ndarray:
+        """Numbers of runs of texts that are encoded as they are."""
+        got = [np.array(e.ids, self.kind) for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+        return self.add(np.concatenate([np.zeros(0, self.kind), *got]), np.array([len(g) for g in got], np.int64))
+
+    def learn(self, units: list[str]) -> None:
+        """``units``: new ones, each of what follows a cut, without its space.
+
+        Marks after a letter or digit are a token's start of their own, so a unit that ends in some is its
+        stem's run and that of the marks."""
+        stems = [u.rstrip(_MARKS) for u in units]
+        split = [i for i, (s, u) in enumerate(zip(stems, units)) if len(s) < len(u) and s and s[-1].isalnum()]
+        known, apart = self.known, set(split)
+        self._call(list(dict.fromkeys(u for i, u in enumerate(units) if i not in apart) | {stems[i]: None for i in split if stems[i] not in known}))
+        if split:
+            marks = [units[i][len(stems[i]) :] for i in split]
+            kinds = list(dict.fromkeys(marks))
+            of = dict(zip(kinds, self.whole(kinds).tolist()))
+            runs = np.array([[known[stems[i]], of[m]] for i, m in zip(split, marks)], np.int64)
+            lengths = self.length[runs]
+            ids = self.ids[ragged(self.start[runs].reshape(-1), lengths.reshape(-1))]
+            known.update(zip([units[i] for i in split], self.add(ids, lengths.sum(axis=1)).tolist()))
+
+    def _call(self, units: list[str]) -> None:
+        """One call of the library for many units."""
+        parts = [units[i : i + TOGETHER] for i in range(0, len(units), TOGETHER)]
         for part, e in zip(parts, self.lib.encode_batch_fast([" " + " ".join(p) for p in parts], add_special_tokens=False)):
             ids = np.array(e.ids, np.uint32)
             ends = np.cumsum(np.fromiter(map(len, map(str.encode, part)), np.int64, len(part)) + 1)
             at = np.searchsorted(np.cumsum(self.size[ids]), ends) + 1
-            raw, a = ids.astype(self.kind).tobytes(), 0
-            for u, b in zip(part, (self.kind.itemsize * at).tolist()):
-                known[u] = raw[a:b]
-                a = b
+            self.known.update(zip(part, self.add(ids.astype(self.kind), np.diff(at, prepend=0)).tolist()))
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of whole texts, the end id last."""
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts in a row, the end id last in each, and the number of ids of each."""
         if len(self.known) > UNITS:
-            self.known.clear()
-        odd = [i for i, t in enumerate(texts) if t and any([s in t for s in self.special])]
-        whole = set(odd)
-        cut = [_CUT.split(t) if t and i not in whole else [""] for i, t in enumerate(texts)]
-        first = [us[0] for us in cut]  # the only unit of a text without a space in front
-        heads = dict(zip(h := list({f for f in first if f}), self._whole(h)))
-        heads[""] = b""
-        for us in cut:
-            del us[0]
-        self.learn(set().union(*cut))
-        end, get = np.array(END, self.kind).tobytes(), self.known.__getitem__
-        out = [heads[f] + b"".join(map(get, us)) + end for f, us in zip(first, cut)]
-        for i, raw in zip(odd, self._whole([texts[i] for i in odd])):
-            out[i] = raw + end
-        return out
+            self.clear()
+        n, texts = len(texts), pc.fill_null(texts, "")
+        odd = np.zeros(n, bool)
+        for name in self.special:
+            odd |= pc.match_substring(texts, name).to_numpy(zero_copy_only=False)
+        plain = ~odd & ~pc.match_substring_regex(texts, _WIDE).to_numpy(zero_copy_only=False)
+        cut = pc.split_pattern(texts.filter(pa.array(plain)), " ")
+        kinds = [cut.flatten(), *[pa.array(_CUT.split(t), pa.string()) for t in texts.filter(pa.array(~plain & ~odd)).to_pylist()]]
+        units, sizes = pa.concat_arrays(kinds), np.zeros(n, np.int64)
+        sizes[plain] = pc.list_value_length(cut).to_numpy()
+        sizes[~plain & ~odd] = [len(k) for k in kinds[1:]]
+        # units lie by kind of text; the place of every text's first one
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain & ~odd)])
+        first = np.zeros(n, np.int64)
+        first[order] = np.cumsum(sizes[order]) - sizes[order]
+        number = np.zeros(len(units), np.int64)
+        head = np.zeros(len(units), bool)
+        head[first[order]] = True
+        begins = units.filter(pa.array(head)).dictionary_encode()
+        number[head] = self.whole(begins.dictionary.to_pylist())[begins.indices.to_numpy()] if len(begins) else 0
+        rest = units.filter(pa.array(~head)).dictionary_encode()
+        names = rest.dictionary.to_pylist()
+        self.learn([u for u in names if u not in self.known])
+        numbers = np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))
+        number[~head] = numbers[rest.indices.to_numpy()] if len(rest) else 0
+        end = self.add(np.array([END], self.kind), np.ones(1, np.int64))
+        # every text: its units (an odd one's whole run), then the end id
+        sizes[odd] = 1
+        at = np.cumsum(sizes + 1) - 1
+        runs = np.full(int((sizes + 1).sum()), end[0])
+        whole = np.flatnonzero(odd)
+        runs[at[whole] - 1] = self.whole(texts.take(pa.array(whole)).to_pylist()) if len(whole) else 0
+        runs[ragged(at[order] - sizes[order], sizes[order])] = number
+        lengths = self.length[runs]
+        total = np.add.reduceat(lengths, at - sizes) if n else np.zeros(0, np.int64)
+        return self.ids[ragged(self.start[runs], lengths)], total
 
 
 _UNITS: dict[str, Units] = {}
@@ -119,10 +181,12 @@ def _tokenise(path: str):
             return pa.RecordBatch.from_arrays([
                 pa.array([seq]), pa.array([docs], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())), pa.array([total]),
                 pa.array([press.compress(b"".join(held))], pa.binary())], ["seq", "docs", "sizes", "n_ids", "ids"])
-        for b in slices(batches, "text"):
-            for d, raw in zip(b.column("id").to_pylist(), units.encode(b.column("text").to_pylist())):
-                docs.append(d), sizes.append(len(raw) // units.kind.itemsize), held.append(raw)
-                total += sizes[-1]
+        for b in slices(batches, "text", TEXT_BYTES):
+            ids, lengths = units.encode(b.column("text"))
+            ends = np.cumsum(lengths).tolist()
+            for d, n, e in zip(b.column("id").to_pylist(), lengths.tolist(), ends):
+                docs.append(d), sizes.append(n), held.append(ids[e - n : e].tobytes())
+                total += n
                 if total >= BLOCK_IDS:
                     yield block()
                     docs, sizes, held, total, seq = [], [], [], 0, seq + 1
