@@ -14,8 +14,8 @@ rows bring nearer neighbours.  Copies of one vector beyond the k + 1 smallest id
 in no result and are left out before any comparison.
 
 Results for odd input: vectors that are null, zero, hold null or non-finite components or have
-another length than the longest take no part, as queries or candidates; rows with a null id
-neither; rows that repeat an id are candidates of their own; ties go to the smaller id; a query
+another length than most of them (of lengths as frequent as each other, the shorter) take no part, as
+queries or candidates; rows with a null id neither; rows that repeat an id are candidates of their own; ties go to the smaller id; a query
 without candidates gives no row; an empty table gives no rows.
 """
 
@@ -175,9 +175,11 @@ def search(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vecto
             F.col("id").isNotNull() & F.col("v").isNotNull() & fine)
     data = clean(vectors)
     square = F.aggregate("v", F.lit(0.0), lambda s, c: s + c * c)
-    rows, dim, norm = data.agg(F.count(F.lit(1)), F.max(F.size("v")), F.max(square)).first()
-    if not rows:
+    sizes = data.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.max(square).alias("norm"))
+    usual = sizes.orderBy(F.desc("n"), "dim").limit(1).collect()
+    if not usual:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    dim, rows, norm = usual[0]
     data, asked = data.filter(F.size("v") == dim), clean(queries).filter(F.size("v") == dim)
     chance = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1_000_003)) / 1_000_003.0
     picked = data.filter(chance <= min(1.0, SAMPLE_ROWS / rows)).orderBy(F.xxhash64("id"), "id").limit(2 * SAMPLE_ROWS).select("v").toArrow()

@@ -201,7 +201,12 @@ def identify(df: DataFrame, net: Network | None, id_col: str = "doc_id", text_co
 
 
 def keep_identified(df: DataFrame, net: Network | None, text_col: str = "text") -> DataFrame:
-    """The whole rows of ``df`` whose text has a language (is not ``und``), unchanged and unshuffled."""
+    """The whole rows of ``df`` whose text has a language (is not ``und``), unchanged and unshuffled.
+
+    The network tells languages apart and rejects none of them, so what goes are texts without a letter;
+    without a network (no row was labelled) these go all the same, and texts with a letter stay."""
+    if net is None:
+        return df.filter(F.col(text_col).rlike(r"\p{L}"))
     packed = df.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
     schema = T.StructType([T.StructField("row", packed.schema["row"].dataType), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return packed.mapInArrow(tidy(_predict(net)), schema).filter(F.col("lang_pred") != UNKNOWN).select("row.*")

@@ -15,9 +15,10 @@ order with LENGTH or more common symbols are equal strings; all but the first pl
 removed.  A gram with more than CHUNK different segments (the edge of a passage that a large part
 of the corpus shares) is taken apart into single windows that travel by their own hash.
 
-Results for odd input: null and empty texts have no bytes and lose none; rows with a null id are
-neither searched nor cut; rows that repeat an id are one document (the same places); texts
-shorter than LENGTH stay whole; an empty table gives no rows.
+Results for odd input: null and empty texts have no bytes and lose none; rows with a null id, or one
+that is not a number, are neither searched nor cut; rows that repeat an id and a text are one document
+(the same places), rows that repeat an id with other texts are documents of their own, in the order
+of their hash; texts shorter than LENGTH stay whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +48,7 @@ GROWTH = 3.4  # segment bytes to a byte of text
 SPOOL_BYTES = 64 << 20
 PIECE_BYTES = 2 << 20  # a longer text is cut up for the search
 PLACE = 22  # low bits of a packed minimum hold the place in the slice
+ROOM = 40  # bits of a place in a text; above them the number of the text among those with its id
 
 _rng = np.random.default_rng(20240608)
 _LETTER = _rng.integers(0, 2**63, 256, dtype=np.uint64)
@@ -153,7 +155,8 @@ def _segments(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, seen = Places(), 0
         for b in slices(batches, "text", 1 << 20):
-            for ids, offsets, texts in _pieces(b.column("id").to_pylist(), utf8(b.column("text"))):
+            base = [n << ROOM for n in b.column("nth").to_pylist()]
+            for ids, offsets, texts in _pieces(b.column("id").to_pylist(), base, utf8(b.column("text"))):
                 key, owner, start, size, gram = cut(texts)
                 for k, o, s, n, g in zip(key.astype(np.int64).tolist(), owner.tolist(), start.tolist(), size.tolist(), gram.tolist()):
                     held.add(texts[o][s : s + n], ids[o], offsets[o] + s, k, g)
@@ -166,15 +169,15 @@ def _segments(buckets: int):
     return run
 
 
-def _pieces(ids: list[int], texts: list[bytes]) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+def _pieces(ids: list[int], base: list[int], texts: list[bytes]) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
     """The texts of a slice in one run; a text above PIECE_BYTES in pieces that share LENGTH - 1 bytes,
     so that every window lies in one piece."""
     if max(map(len, texts)) <= PIECE_BYTES:
-        yield ids, [0] * len(ids), texts
+        yield ids, base, texts
         return
-    for d, t in zip(ids, texts):
+    for d, o, t in zip(ids, base, texts):
         for at in range(0, max(len(t) - LENGTH + 1, 1), PIECE_BYTES):
-            yield [d], [at], [t[at : at + PIECE_BYTES + LENGTH - 1]]
+            yield [d], [o + at], [t[at : at + PIECE_BYTES + LENGTH - 1]]
 
 
 def build(segs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -308,14 +311,16 @@ def merged(spans: np.ndarray) -> np.ndarray:
     """Sorted (doc, start, end) with overlapping and touching spans of a document joined."""
     if len(spans) < 2:
         return spans
-    # ends made to grow over documents, so that one running maximum serves all of them
-    rank = np.cumsum(np.diff(spans[:, 0], prepend=spans[0, 0]) != 0)
-    step = int(spans[:, 2].max()) + 1
-    reach = np.maximum.accumulate(spans[:, 2] + rank * step)
-    first = np.flatnonzero(np.append(True, (spans[1:, 1] + rank[1:] * step > reach[:-1]) | (rank[1:] != rank[:-1])))
+    # ends made to grow over texts, so that one running maximum serves all of them
+    text = spans[:, 1] >> ROOM
+    rank = np.cumsum((np.diff(spans[:, 0], prepend=spans[0, 0]) != 0) | (np.diff(text, prepend=text[0]) != 0))
+    start, end = spans[:, 1] - (text << ROOM), spans[:, 2] - (text << ROOM)
+    step = int(end.max()) + 1
+    reach = np.maximum.accumulate(end + rank * step)
+    first = np.flatnonzero(np.append(True, (start[1:] + rank[1:] * step > reach[:-1]) | (rank[1:] != rank[:-1])))
     out = spans[first].copy()
     last = np.append(first[1:], len(spans)) - 1
-    out[:, 2] = reach[last] - rank[last] * step
+    out[:, 2] = reach[last] - rank[last] * step + (text[last] << ROOM)
     return out
 
 
@@ -369,11 +374,12 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _by_doc(np.array(held.gone, np.int64))
 
 
-def spans_of(parts) -> np.ndarray:
-    """Maximal removed (start, end) runs of a document from the rows found for it."""
+def spans_of(parts, nth: int = 0) -> np.ndarray:
+    """Maximal removed (start, end) runs of the nth text of an id from the rows found for it."""
     if not parts:
         return np.zeros((0, 2), np.int64)
     s = np.concatenate([np.frombuffer(p, np.int64).reshape(-1, 2) for p in parts])
+    s = s[s[:, 0] >> ROOM == nth] - (nth << ROOM)
     s = np.column_stack([np.zeros(len(s), np.int64), s])[np.lexsort((s[:, 1], s[:, 0]))]
     return merged(s)[:, 1:]
 
@@ -387,16 +393,16 @@ def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     press = zstandard.ZstdCompressor(level=3)
     for b in slices(batches, "text"):
         packed = [None if t is None else press.compress(t) for t in b.column("text").cast(pa.binary()).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column("row"), b.column("_id"), pa.array(packed, pa.binary())], ["row", "_id", "packed"])
+        yield pa.RecordBatch.from_arrays([b.column("row"), b.column("_id"), b.column("nth"), pa.array(packed, pa.binary())], ["row", "_id", "nth", "packed"])
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     unpress = zstandard.ZstdDecompressor()
     for b in slices(batches, "packed", 1 << 20):
         out = []
-        for packed, parts in zip(b.column("packed").to_pylist(), b.column("parts").to_pylist()):
+        for packed, nth, parts in zip(*(b.column(c).to_pylist() for c in ("packed", "nth", "parts"))):
             t = b"" if packed is None else unpress.decompress(packed)
-            spans = spans_of(parts)
+            spans = spans_of(parts, nth)
             keep, at = [], 0
             for a, z in spans.tolist():
                 keep.append(t[at:a])
@@ -407,10 +413,31 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["row", "has_text", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
-def removed_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, parts): for every document that loses bytes, the rows of (start, end) pairs found for it."""
-    spark = df.sparkSession
-    docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id is not null and octet_length(text) >= 100")
+def texts_of_ids(df: DataFrame, id_col: str, text_col: str) -> DataFrame | None:
+    """(_of, _hash, _nth): the place of every text among the different texts of its id, for ids that have
+    several; None if there are none (of every row only the id and a hash are shuffled to find out)."""
+    pairs = df.select(F.expr(f"try_cast(`{id_col}` AS BIGINT)").alias("_of"), F.xxhash64(text_col).alias("_hash")).filter("_of IS NOT NULL").groupBy("_of", "_hash").count().drop("count")
+    pairs = materialise(pairs)
+    several = materialise(pairs.groupBy("_of").count().filter("count > 1").select("_of"))
+    if several.isEmpty():
+        return None
+    order = Window.partitionBy("_of").orderBy("_hash")
+    return materialise(pairs.join(several, "_of").withColumn("_nth", F.row_number().over(order).cast("long") - 1))
+
+
+def _placed(df: DataFrame, id_col: str, text_col: str, nth: DataFrame | None) -> DataFrame:
+    """``df`` with the id as a number, ``_id``, and the place of its text among those of the id, ``nth``."""
+    rows = df.withColumn("_id", F.expr(f"try_cast(`{id_col}` AS BIGINT)"))
+    if nth is None:
+        return rows.withColumn("nth", F.lit(0).cast("long"))
+    joined = rows.withColumn("_h", F.xxhash64(text_col)).join(nth.hint("merge"), (F.col("_id") == F.col("_of")) & (F.col("_h") == F.col("_hash")), "left")
+    return joined.withColumn("nth", F.coalesce("_nth", F.lit(0).cast("long"))).drop("_h", "_of", "_hash", "_nth")
+
+
+def removed_spans(docs: DataFrame) -> DataFrame:
+    """Of rows (_id, nth, text): (id, parts), for every id that loses bytes the rows of (start, end) pairs found for it."""
+    spark = docs.sparkSession
+    docs = docs.select(F.col("_id").alias("id"), "nth", "text").filter("id is not null and octet_length(text) >= 100")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = partitions_for(total * GROWTH, PARTITION_BYTES, spark)
     deal = lambda df: df.repartitionById(n, F.col("bucket").cast("int"))  # noqa: E731  a bucket is a partition
@@ -423,13 +450,13 @@ def removed_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row of ``df`` as a struct ``row`` of its columns but the text, with has_text (it was not
     null), n_bytes, n_removed, n_spans and the kept bytes.  Texts travel compressed."""
-    gone = removed_spans(df, id_col, text_col)
-    rest = F.struct(*[df[c] for c in df.columns if c != text_col])
-    rows = df.select(rest.alias("row"), df[id_col].cast("long").alias("_id"), df[text_col].alias("text"))
+    named = df.select(F.struct(*[df[c] for c in df.columns if c != text_col]).alias("row"), df[id_col].alias("_key"), df[text_col].alias("text"))
+    rows = _placed(named, "_key", "text", texts_of_ids(named, "_key", "text")).drop("_key")
+    gone = removed_spans(rows)
     row = rows.schema["row"]
-    packed = rows.mapInArrow(tidy(_squeeze), T.StructType([row, *T.StructType.fromDDL("_id long, packed binary").fields]))
+    packed = rows.select("row", "_id", "nth", "text").mapInArrow(tidy(_squeeze), T.StructType([row, *T.StructType.fromDDL("_id long, nth long, packed binary").fields]))
     # a merge join at every size: both sides grow with the corpus
-    both = packed.join(gone.select(F.col("id").alias("_id"), "parts").hint("merge"), "_id", "left").select("row", "packed", "parts")
+    both = packed.join(gone.select(F.col("id").alias("_id"), "parts").hint("merge"), "_id", "left").select("row", "nth", "packed", "parts")
     schema = T.StructType([row, *T.StructType.fromDDL("has_text boolean, n_bytes long, n_removed long, n_spans long, kept binary").fields])
     return both.mapInArrow(tidy(_kept), schema)
 

@@ -208,7 +208,7 @@ def test_long_text_is_searched_in_pieces(spark, monkeypatch):
     r = np.random.default_rng(2)
     long = bytes(r.integers(97, 123, 5000).astype(np.uint8)).decode()
     monkeypatch.setattr(suffix, "PIECE_BYTES", 700)
-    rows = list(suffix._pieces([1], [long.encode()]))
+    rows = list(suffix._pieces([1], [0], [long.encode()]))
     assert sum(max(len(t[0]) - 99, 0) for _, _, t in rows) == 5000 - 99
 
 
@@ -305,7 +305,7 @@ def test_nearest(spark):
     assert ann.search(few, few.filter("vec_id = 0")).count() == 3
 
 
-def brute_components(texts: dict) -> dict:
+def brute_components(texts: dict, percent: int = 85) -> dict:
     sets = {}
     for i, t in texts.items():
         ws = t.lower().split()
@@ -313,7 +313,7 @@ def brute_components(texts: dict) -> dict:
     at = {i: i for i in texts}
     for a in sorted(texts):
         for b in sorted(texts):
-            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 lo, hi = sorted((at[a], at[b]))
                 at = {k: lo if c == hi else c for k, c in at.items()}
     return {i: (len(sets[i]), at[i]) for i in texts}
@@ -385,7 +385,7 @@ def test_pipeline_against_brute_force(spark, tmp_path, docs):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     got = collections.Counter((r["doc_id"], r["n_tokens"], r["decoded_sha256"]) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
     texts = {i: t for i, t in raw(rows).items() if any(c.isalpha() for c in t.decode())}  # language ID drops texts without a letter
-    texts = {i: texts[i] for i, (_, c) in brute_components(texts).items() if c == i}
+    texts = {i: texts[i] for i, (_, c) in brute_components(texts, corpus_pipeline.NEAR_PERCENT).items() if c == i}
     gone = brute_removed(texts)
     texts = {i: bytes(np.frombuffer(t, np.uint8)[~gone[i]]).decode(errors="ignore") for i, t in texts.items()}
     mixed = spark.createDataFrame([(i, t, s) for i, t, s in ((r["doc_id"], texts.get(r["doc_id"]), r["source"]) for r in rows.collect()) if t is not None], "doc_id long, text string, source string")

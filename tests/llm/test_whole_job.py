@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 
 import corpus_pipeline
-from cyclewise.llm import minhash, rules
+from cyclewise.llm import ann, minhash, rules, suffix
 
 
 def _shingles(text: str) -> set:
@@ -91,3 +91,33 @@ def test_rules_hold_the_risk():
         v = rules.choose(Counter({(0,) * 5: 2000 - k, (8, 0, 0, 0, 0): k}), Counter({(8, 0, 0, 0, 0): 3}), rules.RISK, 0.05)
         wrong += v[0] > 0
     assert wrong <= 0.05 * 2000
+
+
+def test_rows_of_one_id_with_other_texts_keep_their_own_bytes(spark):
+    """A text loses what it repeats itself, never what another text with its id repeats."""
+    r = np.random.default_rng(11)
+    passage = "".join(r.choice(list("abcdefgh"), 300))
+    a, b, c = "".join(r.choice(list("ijkl"), 161)), "".join(r.choice(list("mnop"), 125)), "".join(r.choice(list("qrst"), 200))
+    rows = [(1, passage + c), (2, passage + a), (2, b), (2, b), (3, a), (4, b + passage), (None, passage)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(x["row"]["doc_id"], x["n_bytes"]): (x["n_removed"], x["n_spans"], bytes(x["kept"]).decode()) for x in suffix.remove_repeats(df).collect()}
+    assert got[1, 500] == (0, 0, passage + c)
+    assert got[2, 461] == (300, 1, a) and got[2, 125] == (0, 0, b)
+    assert got[3, 161] == (161, 1, "") and got[4, 425] == (425, 1, "") and got[None, 300][0] == 0
+    left = suffix.without_repeats(df).collect()
+    assert sorted(x["text"] for x in left if x["doc_id"] == 2) == sorted([a, b, b])
+
+
+def test_language_stage_without_labels_keeps_documents(spark):
+    rows = [(i, f"clean document number {i}", None) for i in range(20)] + [(30, "123 !", None), (31, None, None), (32, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(x["doc_id"] for x in corpus_pipeline.language_id(spark, docs, "").collect()) == list(range(20))
+
+
+def test_a_stray_longer_vector_takes_no_row_away(spark):
+    r = np.random.default_rng(12)
+    x = r.normal(size=(200, 8))
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)] + [(500, [1.0] * 9)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.search(vectors, vectors.filter("vec_id % 20 = 0")).collect()
+    assert len(got) == 200 and {g["query_id"] for g in got} == set(range(0, 200, 20)) and all(g["vec_id"] < 200 for g in got)
