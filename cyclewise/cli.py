@@ -49,6 +49,7 @@ def cmd_run(spark, a) -> int:
 def cmd_train(spark, a) -> int:
     from .operators import evaluate, models, scaling
     from .schema import SENSOR_COLS
+    from .session import cut_lineage
     from .sources import telemetry
 
     train, _, _ = telemetry.load_all(spark, a.data_dir, a.dataset)
@@ -56,7 +57,8 @@ def cmd_train(spark, a) -> int:
     pipe = scaling.TelemetryPipeline(scaling.PipelineSpec(channels=channels)).fit(train)
     feats = pipe.transform(train)
     cols = [c for c in pipe.scaler.features]
-    data = models.assemble(models.split(feats, ["unit_id", "time_cycle"], share=a.val_share, by="unit"), cols)
+    # every fit and every boosting round reads this frame: written once, not planned again each time
+    data = cut_lineage(models.assemble(models.split(feats, ["unit_id", "time_cycle"], share=a.val_share, by="unit"), cols).select("unit_id", "time_cycle", "RUL", "split", "features"))
     est = {"forest": models.forest(numTrees=a.trees, maxDepth=a.depth), "boosted": models.boosted(maxIter=a.trees, maxDepth=min(a.depth, 6))}
     results = models.train_many(est, data.filter("split = 'train'"), data.filter("split = 'val'"))
     table = models.results_frame(spark, results)

@@ -107,7 +107,9 @@ class TelemetryPipeline:
         )
         if s.create_rul and "RUL" not in out.columns:
             out = labels.add_rul(out, s.clip_rul, s.max_rul, method="join")
-        return out.na.drop()
+        # the row number keeps the null filter above the feature columns: pushed below them, its one condition
+        # over all columns would be rewritten once for every renaming, a number that doubles with each column
+        return out.withColumn("_row", F.monotonically_increasing_id()).filter("_row >= 0").na.drop().drop("_row")
 
     def fit(self, df: DataFrame) -> TelemetryPipelineModel:
         s = self.spec

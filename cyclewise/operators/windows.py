@@ -231,7 +231,7 @@ def add_features(
         lead = [F.col(c) for c in keep]
         extra_names = [n for n in out.columns if n not in set(keep) | set(names) | set(halo_col) | set(keys) and not n.startswith("__")]
         out = out.select(*lead, *[F.col(n) for n in extra_names],
-                         *[(final[n] if n in final else F.col(n)).alias(n) for n in names], *halo_col)
+                         *[final[n].alias(n) if n in final else F.col(n) for n in names], *halo_col)
     if split_rows:
         out = out.filter(~F.col("_halo")).drop("_halo")
     if null_policy == "drop":

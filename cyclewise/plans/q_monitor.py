@@ -176,31 +176,18 @@ def q_o9(spark, sf_dir):
     return present(out.select("model_type", fmt(F.col("window_start")).alias("window_start"), F.col("total").cast("bigint"), "p50", "p95", "p99"))
 
 
-@register(
-    "o10_drift_aggregates",
-    with_(DRIFT_LONG)
-    + "SELECT 1 AS dummy",
-)
-def q_o10(spark, sf_dir):  # replaced below with a real oracle
-    raise NotImplementedError
-
-
 def _o10_sql():
     from .q_drift import PSI_CTE
 
     return with_(DRIFT_LONG, *PSI_CTE) + f"SELECT {r('avg(psi)')} AS avg_psi, {r('max(psi)')} AS max_psi FROM psi"
 
 
-def _o10(spark, sf_dir):
+@register("o10_drift_aggregates", _o10_sql())
+def q_o10(spark, sf_dir):
     p = drift.psi(tables.drift_long(spark, sf_dir))
     return present(p.agg(F.avg("psi").alias("avg_psi"), F.max("psi").alias("max_psi")))
 
 
-from .registry import REGISTRY  # noqa: E402
-
-REGISTRY["o10_drift_aggregates"] = (_o10, _o10_sql())
-
-
 def _episodes_sql(cond_cte: str, hold: int) -> str:
     return f""", t AS ({cond_cte}),
 i0 AS (SELECT *, lag(sec) OVER (PARTITION BY model_type ORDER BY sec) AS prev FROM t),

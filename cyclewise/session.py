@@ -12,6 +12,10 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+# Scratch folders of local applications without a checkpoint folder of their own.
+_SCRATCH: dict[str, str] = {}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cyclewise", coalesce: bool = True) -> SparkSession:
     """A local[cores] session with AQE, UTC and no web UI (tests / bench).
 
@@ -42,20 +46,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's ``spark.checkpoint.dir``.
 
     On a cluster this is a shared folder named by the operator of the cluster
-    and is only read here.  Only when it is unset (local tests) a scratch folder
-    is created and registered.
+    and is only read here.  Only when it is unset on a local master a scratch
+    folder is made, once for each application.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    master = spark.sparkContext.master or ""
-    if not master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    path = tempfile.mkdtemp(prefix="cyclewise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    current = spark.conf.get("spark.checkpoint.dir", None) or _SCRATCH.get(spark.sparkContext.applicationId)
+    if not current:
+        if not (spark.sparkContext.master or "").startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+        current = _SCRATCH[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="cyclewise-ckpt-")
+    spark.sparkContext.setCheckpointDir(current)
+    return current
 
 
 def cut_lineage(df, eager: bool = True):
