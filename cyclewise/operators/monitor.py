@@ -186,8 +186,8 @@ def alert_episodes(evals: DataFrame, keys: Sequence[str], ts: str, cond: str, ho
 
     Skew-safe: an island starts where the evaluation one step earlier is not
     true (an equi anti join on (keys, ts - step)); the island start of every
-    true evaluation is a running max of starts (``scan.running``, bucketed by
-    day), so no label set is ever ordered in one task.
+    true evaluation is a running max of starts (``scan.running`` over ranges), so no
+    label set is ever ordered in one task.
 
     ``hold_s``: seconds, or the name of a per-row hold column (rules table).
 
@@ -205,7 +205,7 @@ def alert_episodes(evals: DataFrame, keys: Sequence[str], ts: str, cond: str, ho
     prev = t.select(*keys, (F.col("_sec") + F.lit(step_s)).alias("_sec"))
     starts = t.join(prev, [*keys, "_sec"], "left_anti").select(*keys, "_sec", F.col("_sec").alias("_start"))
     marked = t.join(starts, [*keys, "_sec"], "left")
-    r = running(marked, keys, ["_sec"], F.floor(F.col("_sec") / F.lit(86400)), maxs=["_start"], pos=None)
+    r = running(marked, keys, ["_sec"], maxs=["_start"], pos=None)
     firing = (F.col("_sec") - F.col("max__start")) >= hold
     return r.groupBy(*keys, "max__start").agg(
         F.min(ts).alias("started_at"),

@@ -2,8 +2,9 @@
 
 A plain ``Window.partitionBy(key).orderBy(t)`` running aggregate puts a whole key
 into one task; with one key holding a third of all rows that is one task over a
-third of the data.  Here the key is cut into ``bucket`` ranges that are monotone
-in the order (an hour of the timestamp, a block of cycles, a value range):
+third of the data.  Here the rows are cut into ranges of (key, order), ``_bkt``
+(``ranged``): Spark deals them out from a sample, so their number and size follow
+the data and a large key has many:
 
 1. inside each (key, bucket) a running window (many tasks),
 2. per (key, bucket) totals by a partial aggregate,
@@ -18,16 +19,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .joins import join_small
 
+
+def ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` with ``_bkt``, the number of the range of (keys, order) that a row lies in.
+
+    The exchange has as many ranges as the session's shuffle partitions, and AQE joins
+    those that are small.  Written to the checkpoint folder, as a second run would sample
+    anew and cut elsewhere."""
+    return cut_lineage(df.repartitionByRange(*keys, *order).withColumn("_bkt", F.spark_partition_id()))
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    bucket: Column | str,
     sums: Sequence[str] = (),
     mins: Sequence[str] = (),
     maxs: Sequence[str] = (),
@@ -38,12 +49,10 @@ def running(
     """Add ``pos`` (1-based row number within key) and inclusive running
     ``cum_<c>`` sums, ``min_<c>`` minima and ``max_<c>`` maxima along ``order``.
 
-    ``bucket`` must be non-decreasing along ``order`` within a key.  Passing the
-    name ``"_bkt"`` of a bucket column kept by a previous scan
-    (``keep_bucket=True``) lets nested scans reuse its partitioning.
+    A scan of a scan uses the ranges that the first one kept (``keep_bucket=True``).
     """
     keys, order = list(keys), list(order)
-    b = df if isinstance(bucket, str) and bucket == "_bkt" and "_bkt" in df.columns else df.withColumn("_bkt", bucket)
+    b = df if "_bkt" in df.columns else ranged(df, keys, order)
     local = Window.partitionBy(*keys, "_bkt").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rn = Window.partitionBy(*keys, "_bkt").orderBy(*order)
     cols = [F.col(c) for c in b.columns]
@@ -95,7 +104,6 @@ def exact_quantiles(
     keys: Sequence[str],
     value: str,
     qs: Sequence[float],
-    buckets: int = 64,
     names: Sequence[str] | None = None,
     method: str = "linear",
 ) -> DataFrame:
@@ -104,24 +112,17 @@ def exact_quantiles(
     without holding any group in one task or one buffer.
 
     Distinct (key, value) counts (partial aggregate; a hot value is one row),
-    a bucketed running count over value, then for rank r = q (n - 1) the value
+    a running count over ranges of values, then for rank r = q (n - 1) the value
     at 0-based ranks floor(r) and ceil(r) is the smallest value whose running
     count exceeds the rank.
     """
     keys = list(keys)
     names = list(names) if names else [f"q{int(round(q * 100))}" for q in qs]
-    dv = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    pct = [i / buckets for i in range(1, buckets)]
-    cuts = dv.groupBy(*keys).agg(F.percentile_approx(value, pct, 1000).alias("_cuts"), F.sum("_c").alias("_n")) if keys else None
-    if keys:
-        dvb = join_small(dv, cuts, on=keys)
-    else:
-        dvb = dv.withColumn("_k", F.lit(0))
-        cuts = dvb.groupBy("_k").agg(F.percentile_approx(value, pct, 1000).alias("_cuts"), F.sum("_c").alias("_n"))
-        dvb = join_small(dvb, cuts, on=["_k"], known_small=True)
-        keys = ["_k"]
-    bucket = F.size(F.filter(F.col("_cuts"), lambda c: c <= F.col(value)))
-    cum = running(dvb.withColumn("_b", bucket).drop("_cuts"), keys, [value], F.col("_b"), sums=["_c"], pos=None)
+    dv = df.filter(F.col(value).isNotNull())
+    if not keys:
+        dv, keys = dv.withColumn("_k", F.lit(0)), ["_k"]
+    dv = ranged(dv.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")), keys, [value])
+    cum = running(dv, keys, [value], sums=["_c"], pos=None).join(dv.groupBy(*keys).agg(F.sum("_c").alias("_n")), keys)
     aggs = []
     for q, nm in zip(qs, names):
         if method == "index":

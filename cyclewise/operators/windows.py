@@ -26,6 +26,7 @@ from ..schema import LIBRARY_LAGS, LIBRARY_WINDOWS, delta_name, lag_name, rollin
 
 ROLLING_STATS = ("mean", "std", "min", "max")
 NULL_POLICIES = ("fill", "drop", "serve")
+SPLIT_ROWS = 65_536  # cycles of a unit that one task takes, besides the halo
 
 
 def unit_window(unit: str = "unit_id", order: str = "time_cycle", extra_keys: Sequence[str] = ()):
@@ -322,13 +323,12 @@ def serving_features(
     return out.drop("_is_last")
 
 
-def dense_cycles(df: DataFrame, unit: str, order: Sequence[str], bucket: Column, out: str = "time_cycle") -> DataFrame:
+def dense_cycles(df: DataFrame, unit: str, order: Sequence[str], out: str = "time_cycle") -> DataFrame:
     """Number each unit's rows 1..n along ``order`` without putting a unit in one
-    task: positions come from ``scan.running`` over ``bucket`` ranges (e.g. the
-    month of a timestamp) that are monotone in the order."""
+    task: positions come from ``scan.running`` over ranges of (unit, order)."""
     from .scan import running
 
-    return running(df, [unit], order, bucket, pos=out).withColumn(out, F.col(out).cast("int"))
+    return running(df, [unit], order, pos=out).withColumn(out, F.col(out).cast("int"))
 
 
 def top_k(df: DataFrame, by: str, k: int, ascending: bool = False, tie: Sequence[str] = ()) -> DataFrame:

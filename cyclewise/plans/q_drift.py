@@ -188,9 +188,6 @@ def q_d8(spark, sf_dir):
     return present(_baseline(spark, sf_dir), 4)
 
 
-def _hour():
-    return F.date_trunc("hour", F.col("ts"))
-
 CONCEPT_CTE = [
     SCORED,
     "e AS (SELECT *, (prediction - actual) * (prediction - actual) AS err2 FROM scored)",
@@ -206,14 +203,11 @@ TREND = "CASE WHEN inc > 0.1 THEN 'increasing' WHEN inc < -0.1 THEN 'decreasing'
 
 
 def _concept(spark, sf_dir):
-    return drift.concept_drift(_scored(spark, sf_dir), ["model_type"], ["ts", "request_id"], _hour(), _baseline(spark, sf_dir))
+    return drift.concept_drift(_scored(spark, sf_dir), ["model_type"], ["ts", "request_id"], _baseline(spark, sf_dir))
 
 
 def _day_end(df, keys):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(*keys, F.to_date("ts")).orderBy(F.col("ts").desc(), F.col("request_id").desc())
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    return drift.last_per(df, [*keys, F.to_date("ts").alias("day")], ["ts", "request_id"])
 
 
 @register(
@@ -250,7 +244,7 @@ def _ph(spark, sf_dir, keys):
         "model_type", "ts", "request_id", F.abs(F.col("prediction") - F.col("actual")).alias("x"),
         F.when(F.col("side") == "ref", 0).otherwise(1).alias("epoch"),
     )
-    ph = drift.page_hinkley(s, keys, ["ts", "request_id"], _hour(), "x")
+    ph = drift.page_hinkley(s, keys, ["ts", "request_id"], "x")
     d = _day_end(ph, keys)
     return d.select(*keys, F.date_format("ts", "yyyy-MM-dd").alias("day"), F.round("ph_stat", 2).alias("ph_stat"), F.round("ph_mean", 4).alias("ph_mean"))
 
@@ -295,10 +289,7 @@ def q_d11(spark, sf_dir):
 def _report(spark, sf_dir):
     data = drift.data_drift_summary(drift.feature_drift(tables.drift_long(spark, sf_dir)))
     c = _concept(spark, sf_dir)
-    from pyspark.sql import Window
-
-    last = c.withColumn("_rn", F.row_number().over(Window.partitionBy("model_type").orderBy(F.col("ts").desc(), F.col("request_id").desc())))
-    last = last.filter("_rn = 1").select("model_type", "error_increase_pct", F.col("drift_detected").alias("concept_drift"), "trend")
+    last = drift.last_per(c, ["model_type"], ["ts", "request_id"]).select("model_type", "error_increase_pct", F.col("drift_detected").alias("concept_drift"), "trend")
     p = _pdrift(spark, sf_dir).select("model_type", "ks_stat", "mean_shift", F.col("drift_detected").alias("prediction_drift"))
     return drift.drift_report(data, last, p)
 

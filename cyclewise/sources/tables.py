@@ -45,10 +45,10 @@ def telemetry_lineitem(spark: SparkSession, sf_dir: str, skew_safe: bool = False
         "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", *LINEITEM_CHANNELS,
     )
     order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"]
-    if skew_safe:  # bucketed positions: no unit is ever numbered in one task
+    if skew_safe:  # positions over ranges: no unit is ever numbered in one task
         from ..operators.windows import dense_cycles
 
-        d = dense_cycles(li, "unit_id", order, F.date_trunc("month", F.col("l_shipdate")))
+        d = dense_cycles(li, "unit_id", order)
         return d.select("unit_id", "time_cycle", *LINEITEM_CHANNELS, "l_shipdate")
     # partition by the derived key itself so later per-unit windows reuse this exchange
     w = Window.partitionBy("unit_id").orderBy(*order)
@@ -68,7 +68,7 @@ def telemetry_events(spark: SparkSession, sf_dir: str, skew_safe: bool = False)
     if skew_safe:
         from ..operators.windows import dense_cycles
 
-        d = dense_cycles(ev, "unit_id", ["ts", "event_id"], F.date_trunc("day", F.col("ts")))
+        d = dense_cycles(ev, "unit_id", ["ts", "event_id"])
         return d.select("unit_id", "time_cycle", "ts", "event_type", "value")
     w = Window.partitionBy("unit_id").orderBy("ts", "event_id")
     return ev.select(
