@@ -20,6 +20,15 @@ def rul_expr(clip: bool = True, max_rul: int = MAX_RUL, unit: str = "unit_id", o
     return (F.least(rul, F.lit(max_rul)) if clip else rul).cast("int").alias("RUL")
 
 
+def rul_of(clip: bool = True, max_rul: int = MAX_RUL):
+    """L1 from the unit's last cycle and the row's cycle (``windows.add_features(rul=...)``)."""
+    def expr(last, cycle):
+        rul = last - cycle
+        return (F.least(rul, F.lit(max_rul)) if clip else rul).cast("int").alias("RUL")
+
+    return expr
+
+
 def add_rul(
     df: DataFrame,
     clip: bool = True,

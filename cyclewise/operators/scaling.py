@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..schema import LIBRARY_LAGS, LIBRARY_WINDOWS, MAX_RUL, NON_FEATURE_COLS
 from . import labels, profiling as profile, windows
+from .windows import SPLIT_ROWS
 
 
 class NotFittedError(RuntimeError):
@@ -86,7 +87,7 @@ class PipelineSpec:
     max_rul: int = MAX_RUL
     drop_constant: bool = True
     constant_threshold: float = 0.01
-    split_rows: int | None = None
+    split_rows: int | None = SPLIT_ROWS
 
 
 class TelemetryPipeline:
@@ -101,12 +102,12 @@ class TelemetryPipeline:
 
     def _features(self, df: DataFrame, channels: list[str]) -> DataFrame:
         s = self.spec
-        extra = [labels.rul_expr(s.clip_rul, s.max_rul)] if (s.create_rul and "RUL" not in df.columns and not s.split_rows) else []
+        label = s.create_rul and "RUL" not in df.columns
+        extra = [labels.rul_expr(s.clip_rul, s.max_rul)] if label and not s.split_rows else []
+        rul = labels.rul_of(s.clip_rul, s.max_rul) if label and s.split_rows else None
         out = windows.add_features(
-            df, channels, s.windows, s.stats, s.lags, s.delta, s.null_policy, split_rows=s.split_rows, extra=extra
+            df, channels, s.windows, s.stats, s.lags, s.delta, s.null_policy, split_rows=s.split_rows, extra=extra, rul=rul
         )
-        if s.create_rul and "RUL" not in out.columns:
-            out = labels.add_rul(out, s.clip_rul, s.max_rul, method="join")
         # the row number keeps the null filter above the feature columns: pushed below them, its one condition
         # over all columns would be rewritten once for every renaming, a number that doubles with each column
         return out.withColumn("_row", F.monotonically_increasing_id()).filter("_row >= 0").na.drop().drop("_row")

@@ -17,7 +17,7 @@ Requires the contract ``time_cycle`` = 1..n dense per unit (checked by S8).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -174,6 +174,19 @@ def _halo_chunks(df: DataFrame, order: str, split_rows: int, halo: int) -> DataF
     return own.unionByName(copies)
 
 
+def unit_chunks(df: DataFrame, split_rows: int, halo: int, unit: str = "unit_id", order: str = "time_cycle") -> DataFrame:
+    """The rows with halo copies, dealt by (unit, chunk), and the unit's last cycle on each, ``_last``.
+
+    Two passes: a maximum for every (unit, chunk) by a partial aggregate, then, over these few rows, the
+    maximum over the chunks of the unit, joined back on (unit, chunk).  So the label needs no window over
+    a whole unit, and rows, halo and last cycle meet in one partitioning."""
+    chunk = F.floor((F.col(order) - F.lit(1)) / F.lit(split_rows)).cast("long").alias("_chunk")
+    ends = df.groupBy(unit, chunk).agg(F.max(order).alias("_end"))
+    lasts = ends.select(unit, "_chunk", F.max("_end").over(Window.partitionBy(unit)).alias("_last"))
+    dealt = _halo_chunks(df, order, split_rows, halo).repartition(unit, "_chunk")
+    return dealt.join(lasts, [unit, "_chunk"])  # halo copies beyond the last chunk have no partner and go
+
+
 def add_features(
     df: DataFrame,
     channels: Sequence[str],
@@ -187,6 +200,7 @@ def add_features(
     split_rows: int | None = None,
     extra: Sequence[Column] = (),
     stack: bool = True,
+    rul: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """All rolling / lag / delta features in one projection.
 
@@ -195,7 +209,8 @@ def add_features(
     ``serve`` (serving: lag -> 0, delta -> 0, std -> 0).
     ``extra``: more window expressions over the same spec (e.g. the RUL label).
     ``split_rows``: None (one window partition per unit) or an int (halo chunks of
-    that many cycles).
+    that many cycles).  ``rul``: with ``split_rows``, the label as a function of the unit's
+    last cycle and the row's (``labels.rul_of``); without, pass ``labels.rul_expr`` in ``extra``.
     ``stack``: when the windows form a multiple chain (5, 10, 20), longer-window
     mean / min / max are combined from the shortest window's blocks
     (``_stacked_stages``): same partitioning and order, no extra exchange or sort.
@@ -203,12 +218,12 @@ def add_features(
     halo = max([w - 1 for w in windows] + list(lags) + [1 if delta else 0] + [0])
     if split_rows:
         # dealt by (unit, chunk) even where the input is already dealt by unit
-        base = _halo_chunks(df, order, split_rows, halo).repartition(unit, "_chunk")
+        base = _halo_chunks(df, order, split_rows, halo).repartition(unit, "_chunk") if rul is None else unit_chunks(df, split_rows, halo, unit, order)
         keys = ["_chunk"]
     else:
         base = df
         keys = []
-    extra_cols = list(extra)
+    extra_cols = [*extra, *([rul(F.col("_last"), F.col(order))] if rul is not None and split_rows else [])]
     keep = [c for c in df.columns]
     halo_col = ["_halo"] if split_rows else []
     stacked = stack and stackable(windows) and any(st in ("mean", "min", "max") for st in stats)
@@ -292,15 +307,18 @@ def serving_features(
     unit: str = "unit_id",
     order: str = "time_cycle",
     last_only: bool = True,
+    split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
     """Request-time features from the current row plus up to ``history`` previous rows.
 
     Rolling mean / std need at least ``rolling_gate`` rows of history, lags at
     least ``lag_gate``, else 0.  Lag before start -> 0, first delta -> 0, nulls -> 0.
-    With ``last_only`` only the latest row per unit is returned.
+    With ``last_only`` only the latest row per unit is returned.  Rows are dealt by (unit, chunk of
+    ``split_rows`` cycles) with halo copies; a unit's cycles are 1, 2, .. or end so.
     """
-    spec = unit_window(unit, order)
-    n_hist = F.least(F.row_number().over(spec), F.lit(history + 1))
+    halo = max([w - 1 for w in windows] + list(lags) + [1])
+    spec = unit_window(unit, order, ["_chunk"])
+    n_hist = F.least(F.col(order), F.lit(history + 1))
     cols = [F.col(unit), F.col(order), *[F.col(c) for c in channels]]
     for w in windows:
         for c in channels:
@@ -315,12 +333,10 @@ def serving_features(
             cols.append(F.when(n_hist >= lag_gate, lagged).otherwise(F.lit(0.0)).alias(lag_name(c, k)))
     for c in channels:
         cols.append(F.coalesce(F.col(c) - F.lag(c, 1).over(spec), F.lit(0.0)).alias(delta_name(c)))
-    # the latest row per unit: compared with max(cycle) over the same partition (no second sort)
-    out = df.select(*cols, (F.col(order) == F.max(order).over(Window.partitionBy(unit))).alias("_is_last"))
-    out = out.na.fill(0.0)
+    out = unit_chunks(df, split_rows, halo, unit, order).select(*cols, "_halo", "_last").filter(~F.col("_halo"))
     if last_only:
-        out = out.filter(F.col("_is_last"))
-    return out.drop("_is_last")
+        out = out.filter(F.col(order) == F.col("_last"))
+    return out.drop("_halo", "_last").na.fill(0.0)
 
 
 def dense_cycles(df: DataFrame, unit: str, order: Sequence[str], out: str = "time_cycle") -> DataFrame:

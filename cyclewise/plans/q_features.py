@@ -53,11 +53,9 @@ RUL_SQL = "CAST(least(max(time_cycle) OVER (PARTITION BY unit_id) - time_cycle,
 
 
 def flagship(spark, sf_dir):
-    """Telemetry -> RUL (clip 125) -> rolling mean/std/min/max, lags, deltas: one exchange."""
-    t = tables.telemetry_lineitem(spark, sf_dir).drop("l_shipdate")
-    out = windows.add_features(
-        t, CH, WINDOWS, windows.ROLLING_STATS, LAGS, True, "fill", extra=[labels.rul_expr()], split_rows=None
-    )
+    """Telemetry -> RUL (clip 125) -> rolling mean/std/min/max, lags, deltas, dealt by (unit, chunk)."""
+    t = tables.telemetry_lineitem(spark, sf_dir, skew_safe=True).drop("l_shipdate")
+    out = windows.add_features(t, CH, WINDOWS, windows.ROLLING_STATS, LAGS, True, "fill", rul=labels.rul_of(), split_rows=windows.SPLIT_ROWS)
     return present(out)
 
 
@@ -78,8 +76,8 @@ register("l1_w1_w6_feature_build", FLAGSHIP_SQL)(flagship)
     with_(TELEMETRY_LINEITEM) + f"SELECT unit_id, time_cycle, {RUL_SQL} FROM telemetry_lineitem",
 )
 def q_l1(spark, sf_dir):
-    t = tables.telemetry_lineitem(spark, sf_dir).select("unit_id", "time_cycle")
-    return labels.add_rul(t, clip=True)
+    t = tables.telemetry_lineitem(spark, sf_dir, skew_safe=True).select("unit_id", "time_cycle")
+    return labels.add_rul(t, clip=True, method="join")
 
 
 @register(
@@ -90,15 +88,15 @@ def q_l1(spark, sf_dir):
     "GROUP BY unit_id) m ON t.unit_id = m.unit_id",
 )
 def q_j1(spark, sf_dir):
-    t = tables.telemetry_events(spark, sf_dir).select("unit_id", "time_cycle")
+    t = tables.telemetry_events(spark, sf_dir, skew_safe=True).select("unit_id", "time_cycle")
     return labels.add_rul(t, clip=False, method="join")
 
 
 def _single(stat):
     def q(spark, sf_dir):
-        t = tables.telemetry_lineitem(spark, sf_dir).drop("l_shipdate")
+        t = tables.telemetry_lineitem(spark, sf_dir, skew_safe=True).drop("l_shipdate")
         return present(
-            windows.add_features(t, CH, WINDOWS, [stat], [], False, "fill").drop(*CH)
+            windows.add_features(t, CH, WINDOWS, [stat], [], False, "fill", split_rows=windows.SPLIT_ROWS).drop(*CH)
         )
 
     sql = (
@@ -123,8 +121,8 @@ for _id, _stat in [("w1", "mean"), ("w2", "std"), ("w3", "min"), ("w4", "max")]:
     + " FROM telemetry_events",
 )
 def q_w5(spark, sf_dir):
-    t = tables.telemetry_events(spark, sf_dir).select("unit_id", "time_cycle", "value")
-    return present(windows.add_features(t, ["value"], [], [], LAGS, False, "fill").drop("value"))
+    t = tables.telemetry_events(spark, sf_dir, skew_safe=True).select("unit_id", "time_cycle", "value")
+    return present(windows.add_features(t, ["value"], [], [], LAGS, False, "fill", split_rows=windows.SPLIT_ROWS).drop("value"))
 
 
 @register(
@@ -134,8 +132,8 @@ def q_w5(spark, sf_dir):
     + ", ".join(feature_sql(["value"], [], [], [])) + " FROM telemetry_events",
 )
 def q_w6(spark, sf_dir):
-    t = tables.telemetry_events(spark, sf_dir).select("unit_id", "time_cycle", "value")
-    return present(windows.add_features(t, ["value"], [], [], [], True, "fill").drop("value"))
+    t = tables.telemetry_events(spark, sf_dir, skew_safe=True).select("unit_id", "time_cycle", "value")
+    return present(windows.add_features(t, ["value"], [], [], [], True, "fill", split_rows=windows.SPLIT_ROWS).drop("value"))
 
 
 # Pipeline dialect: mean/std only, nulls kept, rows with any null dropped (P5).
@@ -150,8 +148,8 @@ PIPE_SQL = (
 
 @register("p5_w_pipeline_features_dropna", PIPE_SQL)
 def q_pipe(spark, sf_dir):
-    t = tables.telemetry_lineitem(spark, sf_dir).select("unit_id", "time_cycle", *CH)
-    return present(windows.add_features(t, CH, WINDOWS, ["mean", "std"], LAGS, True, "drop").drop(*CH))
+    t = tables.telemetry_lineitem(spark, sf_dir, skew_safe=True).select("unit_id", "time_cycle", *CH)
+    return present(windows.add_features(t, CH, WINDOWS, ["mean", "std"], LAGS, True, "drop", split_rows=windows.SPLIT_ROWS).drop(*CH))
 
 
 # Sequences of 50 cycles; the arrays are built, the oracle checks derived scalars.
@@ -174,8 +172,8 @@ FROM (SELECT unit_id, time_cycle AS end_cycle,
 WHERE n = {SEQ_L}""",
 )
 def q_w7(spark, sf_dir):
-    t = labels.add_rul(tables.telemetry_lineitem(spark, sf_dir).drop("l_shipdate"))
-    s = windows.add_sequences(t, CH, SEQ_L, target="RUL")
+    t = labels.add_rul(tables.telemetry_lineitem(spark, sf_dir, skew_safe=True).drop("l_shipdate"), method="join")
+    s = windows.add_sequences(t, CH, SEQ_L, target="RUL", split_rows=windows.SPLIT_ROWS)
     seq = F.col("seq")
     return s.select(
         "unit_id",
@@ -213,7 +211,7 @@ def _serve_sql() -> str:
 
 @register("w9_serving_features", _serve_sql())
 def q_w9(spark, sf_dir):
-    t = tables.telemetry_events(spark, sf_dir).select("unit_id", "time_cycle", "value")
+    t = tables.telemetry_events(spark, sf_dir, skew_safe=True).select("unit_id", "time_cycle", "value")
     return present(windows.serving_features(t, ["value"], windows=WINDOWS, lags=LAGS))
 
 
@@ -225,5 +223,5 @@ def q_w9(spark, sf_dir):
 def q_p9(spark, sf_dir):
     from ..operators import profiling as profile
 
-    t = tables.telemetry_events(spark, sf_dir).select("unit_id", "time_cycle", "value")
+    t = tables.telemetry_events(spark, sf_dir, skew_safe=True).select("unit_id", "time_cycle", "value")
     return profile.head_per_unit(t, 15)

@@ -5,7 +5,6 @@ Keys are ``<section id>_<name>`` in lower case so they map to SURVEY section 2.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -28,10 +27,7 @@ def register(name: str, sql: str | None = None):
 def present(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round doubles to ``digits`` for an exact comparison with the oracle.
 
-    The rounding exists only to compare two engines; the bench sets
-    ``CYCLEWISE_RAW_OUTPUT=1`` to time the operators without it."""
-    if os.environ.get("CYCLEWISE_RAW_OUTPUT") == "1":
-        return df
+    The rounding exists only to compare two engines."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):

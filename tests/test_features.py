@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -83,11 +85,31 @@ def test_rul_window_equals_join(f1a):
     assert a["RUL"].max() == 10 and a["RUL"].min() == 0
 
 
-def test_flagship_plan_has_one_exchange(spark):
+def test_flagship_is_dealt_by_unit_and_chunk(spark):
     from cyclewise.plans.q_features import flagship
 
     plan = flagship(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1, plan
+    lines = plan.splitlines()
+    keys = [re.findall(r"(\w+)#", line.split("hashpartitioning(")[1].split(")")[0]) for line in lines if "Exchange hashpartitioning(" in line]
+    assert ["unit_id", "_chunk"] in keys
+    # by the unit alone go only totals of chunks and ranges
+    for line, below in zip(lines, lines[1:]):
+        if "Exchange hashpartitioning(" in line and re.findall(r"(\w+)#", line.split("hashpartitioning(")[1].split(")")[0]) == ["unit_id"]:
+            assert "HashAggregate(keys=[unit_id" in below, below
+
+
+def test_a_unit_with_a_third_of_all_rows_stays_split(spark):
+    """Features and label equal the form with one window per unit, and no task holds more than a chunk and its halo."""
+    r = np.random.default_rng(8)
+    sizes = {1: 900, **{u: 60 for u in range(2, 32)}}
+    pdf = pd.DataFrame([(u, c, *r.normal(size=2)) for u, n in sizes.items() for c in range(1, n + 1)], columns=["unit_id", "time_cycle", "x", "y"])
+    df = spark.createDataFrame(pdf)
+    plain = windows.add_features(df, ["x", "y"], [5, 10], windows.ROLLING_STATS, [1, 5], True, "fill", extra=[labels.rul_expr()])
+    split = windows.add_features(df, ["x", "y"], [5, 10], windows.ROLLING_STATS, [1, 5], True, "fill", rul=labels.rul_of(), split_rows=64)
+    a, b = (z.orderBy("unit_id", "time_cycle").toPandas() for z in (plain, split))
+    pd.testing.assert_frame_equal(a, b[a.columns], check_exact=False, rtol=1e-12)
+    per = windows.unit_chunks(df, 64, 9).groupBy("unit_id", "_chunk").count()
+    assert per.agg(F.max("count")).first()[0] <= 64 + 9 and per.filter("unit_id = 1").count() == 15
 
 
 def test_serving_features_gates(spark):
