@@ -116,3 +116,24 @@ def online(df: DataFrame, members: Mapping[str, str], weights: Mapping[str, floa
         F.when(n > 0, half_even(conf, confidence_digits) if confidence_digits is not None else conf).otherwise(F.lit(0.0)).alias("confidence"),
         F.when(n > 0, F.lit("ensemble")).otherwise(F.lit("error")).alias("model_type"),
     )
+
+
+def member_map(members: Mapping[str, str]) -> Column:
+    """Member name -> prediction, of the members present in the row."""
+    every = F.map_from_arrays(F.array(*[F.lit(m) for m in members]), member_array(members))
+    return F.map_filter(every, lambda _, p: p.isNotNull())
+
+
+def record(df: DataFrame, members: Mapping[str, str], weights: Mapping[str, float] = ONLINE_WEIGHTS, digits: int | None = 2) -> DataFrame:
+    """The prediction record of E7 with its member map: ``individual_predictions`` (member -> prediction,
+    rounded half-even), ``effective_weights`` (weights renormalised over the members present, equal ones
+    where none has a weight) and ``contributions`` (weight x prediction; their sum is the RUL before clipping)."""
+    present = member_map(members)
+    known = F.map_from_arrays(F.array(*[F.lit(m) for m in members]), F.array(*[F.lit(float(weights.get(m, 0.0))) for m in members]))
+    held = F.map_filter(known, lambda m, _: F.map_contains_key(F.col("_present"), m))
+    total = F.aggregate(F.map_values("_held"), F.lit(0.0), lambda a, w: a + w)
+    share = F.transform_values("_held", lambda _, w: F.when(F.col("_total") > 0, w / F.col("_total")).otherwise(F.lit(1.0) / F.size("_held")))
+    out = online(df, members, weights, rul_digits=digits).withColumn("_present", present).withColumn("_held", held).withColumn("_total", total)
+    out = out.withColumn("effective_weights", share).withColumn("contributions", F.map_zip_with("_present", "effective_weights", lambda _, p, w: p * w))
+    shown = F.transform_values("_present", lambda _, p: half_even(p, digits)) if digits is not None else F.col("_present")
+    return out.withColumn("individual_predictions", shown).drop("_present", "_held", "_total")

@@ -229,3 +229,25 @@ def q_v7(spark, sf_dir):
 def q_m13(spark, sf_dir):
     m = evaluate.regression_metrics(_long(spark, sf_dir), by=["model"])  # the gate decides before rounding
     return present(evaluate.quality_gate(m).select("model", "rmse", "r2", "r2_ok", "rmse_ok", "gate_passed"), 4)
+
+
+def _record_sql() -> str:
+    weights = ensemble.ONLINE_WEIGHTS
+    total = "(" + " + ".join(f"(CASE WHEN {m} IS NOT NULL THEN CAST({weights[m]} AS DOUBLE) ELSE 0.0 END)" for m in M) + ")"
+    part = lambda m: f"CASE WHEN {m} IS NOT NULL THEN {m} * (CAST({weights[m]} AS DOUBLE) / {total}) END"
+    names = "array_to_string(list_sort(list_filter([" + ", ".join(f"CASE WHEN {m} IS NOT NULL THEN '{m}' END" for m in M) + "], lambda x: x IS NOT NULL)), ',')"
+    cols = ", ".join(f"{r(m)} AS {m}, {r(part(m))} AS {m}_part" for m in M)
+    return BASE + f"""SELECT unit_id, time_cycle, CASE WHEN len({P}) > 0 THEN 'ensemble' ELSE 'error' END AS model_type, CAST(len({P}) AS INTEGER) AS n_members, {names} AS members, {cols},
+  {r('coalesce(' + ' + '.join(f'coalesce({part(m)}, 0.0)' for m in M) + ', 0.0)')} AS total FROM members"""
+
+
+@register("e7_member_map_record", _record_sql())
+def q_e7_record(spark, sf_dir):
+    """The prediction record with its member map, weights and contributions as maps."""
+    rec = ensemble.record(tables.member_forecasts(spark, sf_dir), M, digits=None)
+    own = lambda c, m: F.try_element_at(F.col(c), F.lit(m))
+    cols = [c for m in M for c in (own("individual_predictions", m).alias(m), own("contributions", m).alias(f"{m}_part"))]
+    return present(rec.select(
+        "unit_id", "time_cycle", "model_type", F.size("individual_predictions").alias("n_members"),
+        F.array_join(F.array_sort(F.map_keys("individual_predictions")), ",").alias("members"), *cols,
+        F.aggregate(F.map_values("contributions"), F.lit(0.0), lambda a, x: a + x).alias("total")))
