@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import drift, monitor, windows
+from ..operators import alerts, decide, drift, monitor, windows
 from ..operators.scan import exact_quantiles
 from ..sources import tables
 from .registry import present, r, register
@@ -366,3 +366,108 @@ def q_o11_rules(spark, sf_dir):
     ep = monitor.evaluate_rules(monitor.monitoring_metrics(log), monitor.rules_table(spark))
     return ep.select("rule", "model_type", "hold_s", fmt(F.col("started_at")).alias("started_at"), fmt(F.col("ended_at")).alias("ended_at"),
                      "evaluations", fmt(F.col("fired_at")).alias("fired_at"), "firing_evaluations")
+
+
+ALL_RULES_SQL = "rules AS (SELECT * FROM (VALUES " + ", ".join(f"('{n}', '{m}', '{o}', CAST({t} AS DOUBLE), {h}, '{v}')" for n, m, o, t, h, v in alerts.RULES) + ") t(rule, metric, op, threshold, hold_s, severity))"
+
+
+def _gauge_sql(metric: str, labels: str, value: str, source: str) -> str:
+    return f"""SELECT '{metric}' AS metric, labels, since, until, value FROM (
+  SELECT {labels} AS labels, epoch_us(ts) AS since, coalesce(lead(epoch_us(ts)) OVER (PARTITION BY {labels} ORDER BY ts, event_id), (SELECT epoch_us(max(ts)) FROM events)) AS until, CAST({value} AS DOUBLE) AS value
+  FROM {source}) WHERE until > since"""
+
+
+def _window_sql(metric: str, labels: str, value: str, source: str, step: int) -> str:
+    return f"SELECT '{metric}' AS metric, {labels} AS labels, st * {step * 1000000} AS since, (st + 1) * {step * 1000000} AS until, CAST({value} AS DOUBLE) AS value FROM {source}"
+
+
+K_SQL = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
+ALL_FAMILIES_SQL = with_(
+    PREDICTION_LOG, *ER_CTE, *_hq_ctes("h"), ALL_RULES_SQL,
+    "span AS (SELECT model_type, min(slot) - 9 AS lo, (SELECT max(slot) FROM s) AS hi FROM s GROUP BY model_type)",
+    "grid AS (SELECT model_type, unnest(range(lo, hi + 1)) AS st FROM span)",
+    f"a0 AS (SELECT {SLOT} AS slot, count(*) AS n, count(*) FILTER (WHERE latency_s <= 0.5) AS fast, sum(latency_s) AS lat FROM prediction_log GROUP BY ALL)",
+    "a1 AS (SELECT *, unnest(range(slot - 9, slot + 1)) AS st FROM a0)",
+    "a AS (SELECT st, sum(n) AS n, sum(fast) AS fast, sum(lat) AS lat FROM a1 GROUP BY st)",
+    "h0 AS (SELECT CAST(floor(epoch_us(ts) / 300000000) AS BIGINT) AS slot, count(*) AS n, count(*) FILTER (WHERE status = 'success') AS ok FROM prediction_log GROUP BY ALL)",
+    "h1 AS (SELECT *, unnest(range(slot - 11, slot + 1)) AS st FROM h0)",
+    "hour AS (SELECT st, sum(n) AS n, sum(ok) AS ok FROM h1 GROUP BY st)",
+    f"pods AS (SELECT *, 'pod-' || (user_id % 5) AS pod, {K_SQL} AS k FROM events)",
+    "c0 AS (SELECT pod, CAST(floor(epoch_us(ts) / 30000000) AS BIGINT) AS slot, sum(value) AS used FROM pods GROUP BY ALL)",
+    "c1 AS (SELECT *, unnest(range(slot - 9, slot + 1)) AS st FROM c0)",
+    "cpu AS (SELECT pod, st, sum(used) AS used FROM c1 GROUP BY ALL)",
+    "hooks AS (SELECT *, round(value / 100.0, 4) AS score FROM pods WHERE k % 7 <> 0)",
+    "m AS (" + "\nUNION ALL ".join([
+        _window_sql("error_ratio", "'model_type=' || model_type", "errors / n", "w", 30),
+        _window_sql("latency_p95", "'model_type=' || model_type", "p95", "hq", 30), _window_sql("latency_p99", "'model_type=' || model_type", "p99", "hq", 30),
+        _window_sql("request_rate", "'model_type=' || grid.model_type", "coalesce(w.n, 0)", "(SELECT grid.model_type, grid.st, w.n FROM grid LEFT JOIN w ON grid.model_type = w.model_type AND grid.st = w.st) grid", 30).replace("coalesce(w.n, 0)", "coalesce(n, 0)"),
+        _window_sql("latency_slo_share", "''", "fast / n", "a", 30), _window_sql("total_rate", "''", "n / 300.0", "a", 30),
+        _window_sql("scale_up", "''", "CASE WHEN lat / n > 0.3 AND n / 300.0 > 50 THEN 1 ELSE 0 END", "a", 30), _window_sql("success_share_1h", "''", "ok / n", "hour", 300),
+        _window_sql("cpu_share", "'pod=' || pod", "used / 300.0", "cpu", 30),
+        _gauge_sql("drift_psi", "'feature=' || event_type || ',model_name=rul-model'", "score", "hooks WHERE event_type = 'click'"),
+        _gauge_sql("concept_drift", "'model_name=rul-model'", "CASE WHEN score >= 0.25 THEN 1 ELSE 0 END", "hooks WHERE event_type = 'error'"),
+        _gauge_sql("prediction_drift", "'model_name=rul-model'", "CASE WHEN score >= 0.25 THEN 1 ELSE 0 END", "hooks WHERE event_type = 'view'"),
+        _gauge_sql("rul", "'unit_id=' || user_id", "value", "pods"),
+        _gauge_sql("ready", "'pod=' || pod", "CASE WHEN event_type = 'error' THEN 0 ELSE 1 END", "pods"),
+        _gauge_sql("memory_share", "'pod=' || pod", "value / 100.0", "pods"),
+        _gauge_sql("up", "'job=tracking'", "CASE WHEN event_type = 'error' THEN 0 ELSE 1 END", "pods WHERE k % 5 = 0"),
+    ]) + ")",
+    """t AS (SELECT rule, severity, hold_s, labels, since, until FROM m JOIN rules USING (metric)
+        WHERE CASE op WHEN '>' THEN value > threshold WHEN '<' THEN value < threshold ELSE value = threshold END)""",
+    "i0 AS (SELECT *, lag(until) OVER (PARTITION BY rule, labels ORDER BY since) AS prev FROM t)",
+    "i AS (SELECT *, sum(CASE WHEN prev IS NULL OR prev <> since THEN 1 ELSE 0 END) OVER (PARTITION BY rule, labels ORDER BY since ROWS UNBOUNDED PRECEDING) AS island FROM i0)",
+    "j AS (SELECT rule, severity, hold_s, labels, min(since) AS started, max(until) AS ended FROM i GROUP BY rule, severity, hold_s, labels, island)",
+) + f"""SELECT rule, severity, labels, strftime(make_timestamp(started), '{TS_FMT}') AS started_at, strftime(make_timestamp(ended), '{TS_FMT}') AS ended_at,
+  strftime(make_timestamp(started + hold_s * 1000000), '{TS_FMT}') AS fired_at FROM j WHERE ended > started + hold_s * 1000000"""
+
+
+def alert_series(spark, sf_dir):
+    """All metric families of the rules, each with its own labels, from the driver tables: latency, errors and silence by
+    model; SLOs and volume without labels; CPU, memory and readiness by pod (five of them, dealt by user); the tracking
+    server; drift by feature and model; RUL by unit."""
+    log = _log(spark, sf_dir)
+    by_model = alerts.labels_of(model_type=F.col("model_type"))
+    none = F.create_map().cast("map<string,string>")
+    wide = monitor.sliding_counts(log, [], sums=["latency_s"], conds={"fast": F.col("latency_s") <= monitor.LATENCY_SLO_SECONDS})
+    hour = monitor.sliding_counts(log, [], width_s=3600, slide_s=300, conds={"ok": F.col("status") == "success"})
+    rate, mean = F.col("n") / 300.0, F.col("sum_latency_s") / F.col("n")
+    hq = monitor.histogram_quantiles(log, ["model_type"], (0.95, 0.99))
+    er = monitor.error_ratio(log)
+    quiet = monitor.evaluation_grid(log, ["model_type"]).join(er.select("model_type", "window_start", "n"), ["model_type", "window_start"], "left")
+    ev = tables.table(spark, sf_dir, "events")
+    end = F.lit(ev.agg(F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()[0])  # one number: all series end with the log
+    pods = ev.withColumn("pod", F.concat(F.lit("pod-"), F.pmod(F.col("user_id"), F.lit(5)).cast("string"))).withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
+    cpu = monitor.sliding_counts(pods, ["pod"], sums=["value"])
+    hooks = decide.parse_drift_events(tables.drift_webhooks(spark, sf_dir))
+    hooks = hooks.filter("event.drift_score IS NOT NULL").select("event_id", "ts", "event.*")
+    flag = F.when(F.col("drift_score") >= 0.25, 1).otherwise(0)
+    state = F.when(F.col("event_type") == "error", 0).otherwise(1)
+    model = alerts.labels_of(model_name=F.col("model_name"))
+    feature = alerts.labels_of(feature=F.element_at("features_affected", 1), model_name=F.col("model_name"))
+    pod = alerts.labels_of(pod=F.col("pod"))
+    gauge = lambda df, name, labels, value: alerts.gauge_series(df, name, labels, value, "ts", "event_id", end)
+    parts = [
+        alerts.window_series(er, "error_ratio", by_model, F.col("error_ratio"), 30),
+        alerts.window_series(hq, "latency_p95", by_model, F.col("p95"), 30), alerts.window_series(hq, "latency_p99", by_model, F.col("p99"), 30),
+        alerts.window_series(quiet, "request_rate", by_model, F.coalesce("n", F.lit(0)), 30),
+        alerts.window_series(wide, "latency_slo_share", none, F.col("fast") / F.col("n"), 30), alerts.window_series(wide, "total_rate", none, rate, 30),
+        alerts.window_series(wide, "scale_up", none, F.when((mean > monitor.SCALE_LATENCY) & (rate > monitor.SCALE_LATENCY_RATE), 1).otherwise(0), 30),
+        alerts.window_series(hour, "success_share_1h", none, F.col("ok") / F.col("n"), 300),
+        alerts.window_series(cpu, "cpu_share", pod, F.col("sum_value") / 300.0, 30),
+        gauge(hooks.filter("drift_type = 'psi'"), "drift_psi", feature, F.col("drift_score")),
+        gauge(hooks.filter("drift_type = 'concept'"), "concept_drift", model, flag), gauge(hooks.filter("drift_type = 'prediction'"), "prediction_drift", model, flag),
+        gauge(ev, "rul", alerts.labels_of(unit_id=F.col("user_id")), F.col("value")),
+        gauge(pods, "ready", pod, state), gauge(pods, "memory_share", pod, F.col("value") / 100.0),
+        gauge(pods.filter("k % 5 = 0"), "up", alerts.labels_of(job=F.lit("tracking")), state),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("o11_alert_rules_all_families", ALL_FAMILIES_SQL)
+def q_o11_all(spark, sf_dir):
+    """Every alert rule over differently keyed series through one islands plan."""
+    fired = alerts.evaluate(alert_series(spark, sf_dir), alerts.rule_table(spark))
+    return fired.select("rule", "severity", "labels", *[fmt(F.col(c)).alias(c) for c in ("started_at", "ended_at", "fired_at")])
