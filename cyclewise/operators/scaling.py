@@ -15,7 +15,10 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import LIBRARY_LAGS, LIBRARY_WINDOWS, MAX_RUL, NON_FEATURE_COLS
+from ..schema import (
+    DROP_SENSORS, LIBRARY_LAGS, LIBRARY_WINDOWS, MAX_RUL, NON_FEATURE_COLS, PIPELINE_LAGS, PIPELINE_SENSORS, PIPELINE_WINDOWS, RAW_COLS, SENSOR_COLS, SETTING_COLS,
+)
+from ..session import cut_lineage
 from . import labels, profiling as profile, windows
 from .windows import SPLIT_ROWS
 
@@ -88,6 +91,33 @@ class PipelineSpec:
     drop_constant: bool = True
     constant_threshold: float = 0.01
     split_rows: int | None = SPLIT_ROWS
+    dialect: str = "library"
+
+
+# Version of the saved pipeline document.
+DOCUMENT = 2
+DIALECTS = ("library", "pipeline")
+
+
+def recipe(dialect: str, columns: Sequence[str]) -> PipelineSpec:
+    """The two recipes of features over the columns there are.
+
+    ``library``: all settings and 21 sensors, rolling mean / std / min / max, nulls filled, near-constant
+    columns found in the data and dropped.  ``pipeline``: the 14 sensors of the fixed list, rolling mean and
+    std, nulls kept and their rows dropped; the fixed drop list instead of a search for constants.  Columns
+    that are no sensors or settings (other tables) are channels of both."""
+    if dialect not in DIALECTS:
+        raise ValueError(f"dialect must be one of {DIALECTS}, got {dialect!r}")
+    other = [c for c in columns if c not in RAW_COLS and c not in NON_FEATURE_COLS]
+    if dialect == "library":
+        return PipelineSpec(channels=[c for c in columns if c in SETTING_COLS or c in SENSOR_COLS] + other)
+    return PipelineSpec(channels=[c for c in PIPELINE_SENSORS if c in columns] + [c for c in other if c not in DROP_SENSORS],
+                        windows=list(PIPELINE_WINDOWS), stats=["mean", "std"], lags=list(PIPELINE_LAGS), null_policy="drop", drop_constant=False, dialect="pipeline")
+
+
+def _own(df: DataFrame, channels: Sequence[str]) -> list[str]:
+    """Of the sensor and setting columns those of the recipe, and everything else."""
+    return [c for c in df.columns if c in channels or c not in SETTING_COLS + SENSOR_COLS]
 
 
 class TelemetryPipeline:
@@ -119,7 +149,7 @@ class TelemetryPipeline:
         if s.drop_constant:
             _, dropped = profile.drop_constant_columns(df, channels, s.constant_threshold)
             channels = [c for c in channels if c not in dropped]
-        feats = self._features(df.drop(*dropped), channels)
+        feats = cut_lineage(self._features(df.select(*_own(df, channels)), channels))  # read twice: for the list of features and for the scaler
         fcols = profile.numeric_features(feats, NON_FEATURE_COLS)
         scaler = ScalerModel.fit(feats, fcols)
         return TelemetryPipelineModel(self.spec, channels, dropped, scaler)
@@ -132,20 +162,22 @@ class TelemetryPipelineModel:
     def transform(self, df: DataFrame) -> DataFrame:
         if self.scaler is None:
             raise NotFittedError("pipeline is not fitted")
-        feats = TelemetryPipeline(self.spec)._features(df.drop(*self.dropped), self.channels)
+        feats = TelemetryPipeline(self.spec)._features(df.select(*_own(df, self.channels)), self.channels)
         return self.scaler.transform(feats)
 
     def save(self, path: str) -> None:
         """Parameter table (Parquet) + metadata (JSON) under ``path``."""
         spark = SparkSession.getActiveSession()
         self.scaler.params_df(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/scaler")
-        meta = {"spec": asdict(self.spec), "channels": self.channels, "dropped": self.dropped, "features": self.scaler.features}
+        meta = {"version": DOCUMENT, "spec": asdict(self.spec), "channels": self.channels, "dropped": self.dropped, "features": self.scaler.features}
         spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
 
     @classmethod
     def load(cls, path: str) -> TelemetryPipelineModel:
         spark = SparkSession.getActiveSession()
         meta = json.loads(spark.read.text(f"{path}/metadata").first()[0])
+        if meta.get("version", 1) > DOCUMENT:
+            raise ValueError(f"the pipeline document has version {meta['version']}, this library reads up to {DOCUMENT}")
         rows = spark.read.parquet(f"{path}/scaler").collect()
         mean = {r["feature"]: r["mean"] for r in rows}
         std = {r["feature"]: r["std"] for r in rows}

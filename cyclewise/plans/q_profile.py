@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import labels, profiling as profile, scaling, windows
-from ..sources import tables
+from ..sources import tables, telemetry
 from .q_features import RUL_SQL, feature_sql
 from .registry import present, r, register
 from .sqlviews import TELEMETRY_EVENTS, TELEMETRY_LINEITEM, with_
@@ -203,11 +203,8 @@ def q_n1(spark, sf_dir):
 
 
 def _scaled_sql(src_cte: str, src: str, cols, keys) -> str:
-    params = ", ".join(f"avg({c}) AS m_{i}, stddev_pop({c}) AS s_{i}" for i, c in enumerate(cols))
-    sel = ", ".join(
-        f"{r(f'({c} - p.m_{i}) / (CASE WHEN p.s_{i} = 0 THEN 1 ELSE p.s_{i} END)')} AS {c}" for i, c in enumerate(cols)
-    )
-    return with_(*src_cte, f"p AS (SELECT {params} FROM {src})") + f"SELECT {', '.join(keys)}, {sel} FROM {src}, p"
+    sel = ", ".join(f"{r(f'({c} - avg({c}) OVER ()) / (CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1 ELSE stddev_pop({c}) OVER () END)')} AS {c}" for c in cols)
+    return with_(*src_cte) + f"SELECT {', '.join(keys)}, {sel} FROM {src}"
 
 
 @register("n2_scaler_transform", _scaled_sql([TELEMETRY_LINEITEM], "telemetry_lineitem", CH, ["unit_id", "time_cycle"]))
@@ -217,44 +214,41 @@ def q_n2(spark, sf_dir):
     return present(m.transform(t))
 
 
-N4_SPEC = dict(windows=[5], stats=["mean", "std"], lags=[1], delta=True)
-N4_FEATS = CH + windows.feature_columns(CH, [5], ["mean", "std"], [1], True)
+def _recipe_sql(spec) -> str:
+    """The features of a recipe over the stand-in channels, rows with a null left out, then scaled."""
+    feats = CH + windows.feature_columns(CH, spec.windows, spec.stats, spec.lags, spec.delta)
+    exprs = [e.replace("round(CAST(", "(CAST(", 1).rsplit(", 6)", 1)[0] + ")" + e.rsplit(", 6)", 1)[1] for e in feature_sql(CH, spec.windows, spec.stats, spec.lags, spec.null_policy)]
+    return _scaled_sql([
+        TELEMETRY_LINEITEM,
+        f"f0 AS (SELECT unit_id, time_cycle, {', '.join(CH)}, {RUL_SQL}, {', '.join(exprs)} FROM telemetry_lineitem)",
+        "f AS MATERIALIZED (SELECT * FROM f0 WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in feats) + ")",
+    ], "f", feats, ["unit_id", "time_cycle", "RUL"])
 
 
-@register(
-    "n4_full_pipeline",
-    _scaled_sql(
-        [
-            TELEMETRY_LINEITEM,
-            "f AS (SELECT unit_id, time_cycle, l_quantity, l_extendedprice, l_discount, l_tax, "
-            + RUL_SQL
-            + ", "
-            + ", ".join(
-                e.replace(f"round(CAST(", "(CAST(", 1).rsplit(", 6)", 1)[0] + ")" + e.rsplit(", 6)", 1)[1]
-                for e in feature_sql(CH, [5], ["mean", "std"], [1])
-            )
-            + " FROM telemetry_lineitem)",
-        ],
-        "f",
-        N4_FEATS,
-        ["unit_id", "time_cycle", "RUL"],
-    ),
-)
-def q_n4(spark, sf_dir):
-    t = tables.telemetry_lineitem(spark, sf_dir).drop("l_shipdate")
-    pipe = scaling.TelemetryPipeline(scaling.PipelineSpec(channels=CH, **N4_SPEC))
-    model = pipe.fit(t)
-    out = model.transform(t)
-    return present(out.select("unit_id", "time_cycle", "RUL", *N4_FEATS))
+def _recipe(dialect: str):
+    """The library's recipe of a dialect; the stand-in has four channels, all of them used."""
+    spec = scaling.recipe(dialect, CH)
+    feats = CH + windows.feature_columns(CH, spec.windows, spec.stats, spec.lags, spec.delta)
 
+    def q(spark, sf_dir):
+        t = tables.telemetry_lineitem(spark, sf_dir, skew_safe=True).drop("l_shipdate")
+        path = telemetry.scratch_path(spark, f"pipeline_{dialect}")
+        scaling.TelemetryPipeline(spec).fit(t).save(path)
+        loaded = scaling.TelemetryPipelineModel.load(path)
+        return present(loaded.transform(t).select("unit_id", "time_cycle", "RUL", *feats))
+
+    return q, _recipe_sql(spec)
+
+
+for _name, _dialect in [("n4_full_pipeline", "library"), ("n4_n3_pipeline_dialect", "pipeline")]:
+    _q, _sql = _recipe(_dialect)
+    register(_name, _sql)(_q)
 
 @register("n3_scaler_save_load")
 def q_n3(spark, sf_dir):
-    from ..sources.telemetry import scratch_path
-
     t = tables.telemetry_lineitem(spark, sf_dir).drop("l_shipdate")
-    model = scaling.TelemetryPipeline(scaling.PipelineSpec(channels=CH, **N4_SPEC)).fit(t)
-    path = scratch_path(spark, "pipeline_model")
+    model = scaling.TelemetryPipeline(scaling.recipe("library", CH)).fit(t)
+    path = telemetry.scratch_path(spark, "pipeline_model")
     model.save(path)
     loaded = scaling.TelemetryPipelineModel.load(path)
     a = model.transform(t).select("unit_id", "time_cycle", F.col("l_quantity_rolling_mean_5").alias("a"))

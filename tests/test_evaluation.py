@@ -94,3 +94,33 @@ def test_trajectory_validation(spark):
         profiling.validate_trajectories(bad)
     with pytest.raises(profiling.ValidationError):
         profiling.validate_trajectories(bad.drop("time_cycle"))
+
+
+@pytest.mark.parametrize(("dialect", "sensors", "stats"), [("library", 21, 4), ("pipeline", 14, 2)])
+def test_recipes_of_21_and_14_sensors_survive_save_and_load(spark, f1a, tmp_path, dialect, sensors, stats):
+    from cyclewise.schema import DROP_SENSORS, SENSOR_COLS
+
+    _, df = f1a
+    spec = scaling.recipe(dialect, df.columns)
+    assert sum(c in SENSOR_COLS for c in spec.channels) == sensors and len(spec.stats) == stats
+    assert dialect == "library" or not set(spec.channels) & set(DROP_SENSORS)
+    spec.channels = [c for c in spec.channels if c in ("sensor_1", "sensor_2", "sensor_3", "op_setting_1")]  # the rest alike
+    model = scaling.TelemetryPipeline(spec).fit(df)
+    model.save(str(tmp_path / "p"))
+    loaded = scaling.TelemetryPipelineModel.load(str(tmp_path / "p"))
+    assert loaded.spec == spec and loaded.spec.dialect == dialect
+    a, b = (m.transform(df).orderBy("unit_id", "time_cycle").toPandas() for m in (model, loaded))
+    pd.testing.assert_frame_equal(a, b)
+    assert not any(c.startswith("sensor_4") for c in a.columns)  # sensors outside the recipe are no features
+    # 20 cycles a unit: the dropping recipe has rows from cycle 11 on, the filling one all of them
+    assert len(a) == (100 if dialect == "library" else 50) and abs(a["sensor_2_rolling_mean_5"].mean()) < 1e-9
+
+
+def test_a_newer_pipeline_document_is_refused(spark, f1a, tmp_path):
+    _, df = f1a
+    model = scaling.TelemetryPipeline(scaling.PipelineSpec(channels=["sensor_2"], windows=[5], lags=[1])).fit(df.select("unit_id", "time_cycle", "sensor_2"))
+    model.save(str(tmp_path / "p"))
+    text = (next((tmp_path / "p" / "metadata").glob("part-*"))).read_text().replace('"version": 2', '"version": 3')
+    spark.createDataFrame([(text.strip(),)], "meta string").coalesce(1).write.mode("overwrite").text(str(tmp_path / "p" / "metadata"))
+    with pytest.raises(ValueError, match="version 3"):
+        scaling.TelemetryPipelineModel.load(str(tmp_path / "p"))
