@@ -202,8 +202,8 @@ def q_n1(spark, sf_dir):
     return present(scaling.scaler_params(tables.telemetry_lineitem(spark, sf_dir), CH), 3)
 
 
-def _scaled_sql(src_cte: str, src: str, cols, keys) -> str:
-    sel = ", ".join(f"{r(f'({c} - avg({c}) OVER ()) / (CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1 ELSE stddev_pop({c}) OVER () END)')} AS {c}" for c in cols)
+def _scaled_sql(src_cte: str, src: str, cols, keys, digits: int = 6) -> str:
+    sel = ", ".join(f"{r(f'({c} - avg({c}) OVER ()) / (CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1 ELSE stddev_pop({c}) OVER () END)', digits)} + 0.0 AS {c}" for c in cols)
     return with_(*src_cte) + f"SELECT {', '.join(keys)}, {sel} FROM {src}"
 
 
@@ -222,7 +222,7 @@ def _recipe_sql(spec) -> str:
         TELEMETRY_LINEITEM,
         f"f0 AS (SELECT unit_id, time_cycle, {', '.join(CH)}, {RUL_SQL}, {', '.join(exprs)} FROM telemetry_lineitem)",
         "f AS MATERIALIZED (SELECT * FROM f0 WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in feats) + ")",
-    ], "f", feats, ["unit_id", "time_cycle", "RUL"])
+    ], "f", feats, ["unit_id", "time_cycle", "RUL"], 4)  # four million scaled values: at six digits the order of summation shows
 
 
 def _recipe(dialect: str):
@@ -235,7 +235,7 @@ def _recipe(dialect: str):
         path = telemetry.scratch_path(spark, f"pipeline_{dialect}")
         scaling.TelemetryPipeline(spec).fit(t).save(path)
         loaded = scaling.TelemetryPipelineModel.load(path)
-        return present(loaded.transform(t).select("unit_id", "time_cycle", "RUL", *feats))
+        return present(loaded.transform(t).select("unit_id", "time_cycle", "RUL", *feats), 4)
 
     return q, _recipe_sql(spec)
 
