@@ -341,10 +341,12 @@ def serving_features(
 
 def dense_cycles(df: DataFrame, unit: str, order: Sequence[str], out: str = "time_cycle") -> DataFrame:
     """Number each unit's rows 1..n along ``order`` without putting a unit in one
-    task: positions come from ``scan.running`` over ranges of (unit, order)."""
+    task: positions come from ``scan.running`` over ranges of (unit, order).  Written
+    once, as what follows reads the rows several times (chunks, halo copies, last cycles)."""
+    from ..session import cut_lineage
     from .scan import running
 
-    return running(df, [unit], order, pos=out).withColumn(out, F.col(out).cast("int"))
+    return cut_lineage(running(df, [unit], order, pos=out).withColumn(out, F.col(out).cast("int")))
 
 
 def top_k(df: DataFrame, by: str, k: int, ascending: bool = False, tie: Sequence[str] = ()) -> DataFrame:
