@@ -121,3 +121,58 @@ def test_a_stray_longer_vector_takes_no_row_away(spark):
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = ann.search(vectors, vectors.filter("vec_id % 20 = 0")).collect()
     assert len(got) == 200 and {g["query_id"] for g in got} == set(range(0, 200, 20)) and all(g["vec_id"] < 200 for g in got)
+
+
+def test_nearest_with_crowded_vectors_and_many_shards(spark, monkeypatch):
+    """A third of all rows are copies of one vector, another third lies close together; small shards are split."""
+    monkeypatch.setattr(ann, "SHARD_ROWS", 200)
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 150)
+    monkeypatch.setattr(ann, "SAMPLE_ROWS", 1000)
+    r = np.random.default_rng(13)
+    x = np.concatenate([np.repeat(r.normal(size=(1, 12)), 1500, axis=0), r.normal(size=(1, 12)) + 0.05 * r.normal(size=(1500, 12)), r.normal(size=(1500, 12))])
+    ids = r.permutation(len(x))
+    vectors = spark.createDataFrame([(int(i), [float(c) for c in v]) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+    got: dict = {}
+    for g in ann.search(vectors, vectors.filter("vec_id % 50 = 0")).collect():
+        got.setdefault(g["query_id"], []).append(g)
+    assert len(got) == 90
+    hits = 0.0
+    for i, v in zip(ids, x):
+        if i % 50:
+            continue
+        s = ann.exact(np.repeat(v[None, :], len(x), axis=0), x)
+        s[ids == i] = -np.inf
+        order = np.lexsort((ids, -s))[:20]
+        mine = sorted(got[i], key=lambda g: g["rank"])
+        place = dict(zip(ids.tolist(), s.tolist()))
+        assert len({g["vec_id"] for g in mine}) == len(mine) == 20 and [g["score"] for g in mine] == [place[g["vec_id"]] for g in mine]
+        assert [(-g["score"], g["vec_id"]) for g in mine] == sorted((-g["score"], g["vec_id"]) for g in mine)
+        hits += len({g["vec_id"] for g in mine} & set(ids[order].tolist())) / 20
+    assert hits >= 0.9 * 90
+
+
+def test_nearest_visits_a_falling_share():
+    """The share of rows that the tables' visited buckets hold falls as rows are added; every found row is in a visited shard."""
+    r = np.random.default_rng(14)
+    x = r.normal(size=(40_000, 16))
+    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+    shares = []
+    for n in (1000, 40_000):
+        rows, q = x[:n], np.arange(0, n, n // 40)
+        s = x[q] @ rows.T
+        s[np.arange(len(q)), q] = -np.inf
+        near = np.argpartition(-s, 20, axis=1)[:, :20]
+        index = ann.Index(n, 1.0, 16, rows[:2000])
+        index.fit(np.repeat(x[q], 20, axis=0), rows[near.reshape(-1)])
+        shares.append(index.share)
+        qa, xa = index.queries(x[q]), index.rows(rows)
+        far = index.far(qa)
+        for t in range(ann.TABLES):
+            key = index.key(index.cells(xa, t), t)
+            went = set(zip(*(a.tolist() for a in index.visits(qa, far, t))))
+            seen = index.costs(qa, index.cells(xa, t), t) <= far[:, t, None]
+            at, of = np.nonzero(seen)
+            assert set(zip(at.tolist(), key[of].tolist())) <= went
+            few = np.arange(len(at))[:500]
+            assert np.allclose(index.pairs(qa, xa, at[few], of[few], t), index.costs(qa, index.cells(xa, t), t)[at[few], of[few]])
+    assert shares[1] < 0.6 * shares[0]
