@@ -340,8 +340,7 @@ def search(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vecto
     parts = max(2 * spark.sparkContext.defaultParallelism, math.ceil(TABLES * rows / BLOCK_ROWS))
     held = blocks(data.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(1 << 30))), _deal_rows(index, dim), dim, BLOCK_ROWS, parts)
     probes = blocks(asked, _deal_queries(index, dim), dim + TABLES, QUERY_ROWS, parts).select("shard", F.col("ids").alias("q_ids"), F.col("x").alias("q"))
-    # blocks of one shard spread again, so that a crowded shard's pairs are not one task
-    pairs = held.join(probes, "shard").select("t", "q_ids", "q", "ids", "x").repartition(parts)
+    pairs = held.join(probes, "shard").select("t", "q_ids", "q", "ids", "x")
     found = pairs.mapInArrow(_search(index, dim, k), "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
