@@ -83,6 +83,37 @@ def select_best(metrics: DataFrame, metric: str = "rmse", model: str = "model")
     return ok.agg(best.alias("best_model"), val.alias(f"best_{metric}"), F.count(F.lit(1)).alias("valid_models"))
 
 
+# Fixed value: the measure that names the best model of a report.
+REPORT_METRIC = "rmse"
+REPORT_MEASURES = ["rmse", "mae", "r2", "mape"]
+
+
+def report_document(metrics: DataFrame, dataset: str = "FD001", model: str = "model", timestamp: str | None = None) -> DataFrame:
+    """V5: one nested row (dataset, models, best_model, summary[, timestamp]) for ``write_json_report``.
+
+    ``models``: map from name to measures of the models that were evaluated; a failed one (an error and an
+    infinite rmse) only counts in ``summary.total_models_evaluated``.  ``best_model`` (name, metric, value) is the
+    least finite rmse, ties to the smaller name, null if there is none.  No metrics at all give an empty map and
+    zero counts.  The row holds what the evaluated models are: one entry for each, no data."""
+    m = F.col(REPORT_METRIC)
+    failed = F.col("error").isNotNull() & m.eqNullSafe(F.lit(float("inf"))) if "error" in metrics.columns else F.lit(False)
+    usable = ~failed & m.isNotNull() & ~F.isnan(m) & (m < float("inf"))
+    measures = F.struct(*[F.col(c) for c in REPORT_MEASURES if c in metrics.columns])
+    best = F.min(F.when(usable, F.struct(m.alias("value"), F.col(model).alias("name"))))
+    out = metrics.agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.when(~failed, F.struct(F.col(model).alias("name"), measures.alias("measures")))))).alias("models"),
+        best.alias("_best"),
+        F.count(F.lit(1)).alias("_all"),
+        F.count_if(~failed).alias("_ok"),
+    )
+    named = F.struct(F.col("_best.name").alias("name"), F.lit(REPORT_METRIC).alias("metric"), F.col("_best.value").alias("value"))
+    cols = [
+        F.lit(dataset).alias("dataset"), "models", F.when(F.col("_best").isNotNull(), named).alias("best_model"),
+        F.struct(F.col("_all").alias("total_models_evaluated"), F.col("_ok").alias("successful_evaluations")).alias("summary"),
+    ]
+    return out.select(*cols, *([F.lit(timestamp).alias("timestamp")] if timestamp else []))
+
+
 def residuals(df: DataFrame, y: str = "y", pred: str = "prediction", bins: int = 50) -> tuple[DataFrame, DataFrame]:
     """V6: residual = actual - prediction; (summary: mean, std_pop, n) and a
     ``bins``-bin density histogram over the residual range."""

@@ -179,6 +179,28 @@ def q_v5(spark, sf_dir):
     return present(evaluate.select_best(_v3(spark, sf_dir), "rmse"), 4)
 
 
+V5_DOC_SQL = (
+    with_(TELEMETRY_EVENTS, MEMBERS, MEMBERS_LONG, "v3 AS (" + _metrics_sql("members_long", ["model"], digits=4) + ")")
+    + """SELECT 'FD001' AS dataset, model, rmse, mae, r2, mape, (SELECT min_by(model, rmse) FROM v3) AS best_name, 'rmse' AS best_metric,
+  (SELECT min(rmse) FROM v3) AS best_value, (SELECT count(*) + 1 FROM v3) AS total_models_evaluated, (SELECT count(*) FROM v3) AS successful_evaluations FROM v3"""
+)
+
+
+@register("v5_report_document", V5_DOC_SQL)
+def q_v5_document(spark, sf_dir):
+    """The report of valid and failed models, written as a JSON document and read back."""
+    from ..sources import telemetry
+
+    doc = evaluate.report_document(present(_v3(spark, sf_dir), 4))
+    path = telemetry.scratch_path(spark, "evaluation_report")
+    telemetry.write_json_report(doc, path)
+    back = spark.read.text(path).select(F.from_json("value", doc.schema).alias("d")).select("d.*")
+    return back.select("dataset", F.explode("models").alias("model", "m"), "best_model", "summary").select(
+        "dataset", "model", "m.*", F.col("best_model.name").alias("best_name"), F.col("best_model.metric").alias("best_metric"),
+        F.col("best_model.value").alias("best_value"), "summary.*",
+    )
+
+
 @register(
     "m10_select_best_r2",
     V3_SQL.rstrip().replace("'no model file'", "'no model file') m", 1).replace("SELECT *, NULL::VARCHAR AS error FROM (", "SELECT * FROM (SELECT *, NULL::VARCHAR AS error FROM (", 1)

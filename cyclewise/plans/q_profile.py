@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import labels, profiling as profile, scaling, windows
+from ..schema import SENSOR_COLS, SETTING_COLS
 from ..sources import tables, telemetry
 from .q_features import RUL_SQL, feature_sql
 from .registry import present, r, register
@@ -173,6 +174,28 @@ def q_s10(spark, sf_dir):
     return v.select("event_id", "valid", F.array_join("reasons", ",").alias("reasons"))
 
 
+# A full record: the 24 settings and sensors as text; some fields of some rows are absent or no numbers.
+RECORD_FIELDS = SETTING_COLS + SENSOR_COLS
+_RECORD = {c: f"CAST(l_quantity + {i} AS VARCHAR)" for i, c in enumerate(RECORD_FIELDS)} | {
+    "op_setting_1": "CAST(l_discount AS VARCHAR)",
+    "sensor_3": "CASE WHEN l_returnflag = 'R' THEN 'n/a' ELSE CAST(l_tax AS VARCHAR) END",
+    "sensor_9": "CASE WHEN l_linenumber <> 6 THEN CAST(l_extendedprice AS VARCHAR) END",
+    "sensor_21": "CASE WHEN l_quantity < 5 THEN '' ELSE CAST(l_quantity AS VARCHAR) END",
+}
+
+
+@register(
+    "s10_record_validation_all_fields",
+    "SELECT l_orderkey, l_linenumber, reasons = '' AS valid, reasons FROM (SELECT l_orderkey, l_linenumber, concat_ws(',', "
+    + ", ".join(f"CASE WHEN {c} IS NULL THEN 'null:{c}' WHEN TRY_CAST({c} AS DOUBLE) IS NULL THEN 'not_numeric:{c}' END" for c in RECORD_FIELDS)
+    + ") AS reasons FROM (SELECT l_orderkey, l_linenumber, " + ", ".join(f"{e} AS {c}" for c, e in _RECORD.items()) + " FROM lineitem))",
+)
+def q_s10_all(spark, sf_dir):
+    rec = tables.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *[F.expr(e.replace("VARCHAR", "STRING")).alias(c) for c, e in _RECORD.items()])
+    v = profile.validate_records(rec, RECORD_FIELDS)
+    return v.select("l_orderkey", "l_linenumber", "valid", F.array_join("reasons", ",").alias("reasons"))
+
+
 @register(
     "s11_batch_size_bound",
     "SELECT l_suppkey AS batch_id, count(*) AS n_samples, count(*) BETWEEN 1 AND 1000 AS within_bounds FROM lineitem GROUP BY l_suppkey",

@@ -8,9 +8,11 @@ trim: one narrow projection, no Python per row.
 
 from __future__ import annotations
 
+import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,27 +62,37 @@ def load_split(spark: SparkSession, data_dir: str, kind: str, dataset: str) -> D
 
 
 def with_line_index(lines: DataFrame, out: str = "line_no") -> DataFrame:
-    """1-based position of every line in file order, in the JVM.
+    """1-based position of every line of a text file or a folder of text files, in the JVM.
 
-    ``monotonically_increasing_id`` is increasing inside a partition (file order)
-    and carries the partition in its upper bits; per-partition counts (one row
-    per partition) give each partition's offset.  No single-task window, no
-    Python rows."""
-    t = lines.select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid"))
-    base = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    counts = t.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    j = t.join(F.broadcast(offsets), "_pid")  # one row per input partition
-    return j.select(*lines.columns, (F.col("_off") + base + F.lit(1)).cast("long").alias(out))
+    ``lines``: ``spark.read.text`` with at most filters on top.  A file may be cut into many
+    splits, and Spark packs splits of several files into a partition in any order; a split is
+    known by its file's path and its offset in it.  Inside a split ids increase with the lines;
+    one count for each split, summed over the splits before it (by path, then offset), gives its
+    first number.  The running sum has one row a split and goes by ``scan.running``, so neither
+    lines nor splits meet in one task; files of a folder follow each other by path."""
+    from ..operators import scan
+
+    t = lines.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_mid"))
+    splits = t.groupBy("_file", "_at").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first")).withColumn("_all", F.lit(0))
+    places = scan.running(splits, ["_all"], ["_file", "_at"], sums=["_n"], pos=None)
+    base = places.select("_file", "_at", (F.col("cum__n") - F.col("_n") - F.col("_first") + F.lit(1)).alias("_base"))
+    return t.join(base, ["_file", "_at"]).select(*lines.columns, (F.col("_base") + F.col("_mid")).cast("long").alias(out))
 
 
 def read_rul(spark: SparkSession, path: str) -> DataFrame:
-    """One int per line; the line position (1-based) is the test unit."""
+    """One int per line; the line position (1-based) is the test unit.
+
+    A file or a folder of files (in the order of their names); blank lines do not count."""
     lines = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
     idx = with_line_index(lines)
     return idx.select(F.col("line_no").cast("int").alias("unit_id"), F.trim("value").cast("int").alias("rul"))
 
 
+def write_rul(rul: DataFrame, path: str, unit: str = "unit_id", value: str = "rul") -> None:
+    """One line a unit in unit order: ranges of units become files whose names keep that order."""
+    rul.orderBy(unit).select(F.col(value).cast("string").alias("value")).write.mode("overwrite").text(path)
+
+
 def load_all(spark: SparkSession, data_dir: str, dataset: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """S3: (train, test, rul)."""
     validate_dataset(dataset)
@@ -129,13 +141,15 @@ def availability(spark: SparkSession, data_dir: str) -> tuple[DataFrame, DataFra
     expected = spark.createDataFrame(
         [(ds, k, file_name(k, ds)) for ds in DATASETS for k in FILE_KINDS], "dataset string, kind string, file string"
     )
+    # a file, or a folder of that name with the parts that Spark wrote
+    name = f"/{re.escape(data_dir.rstrip('/').rsplit('/', 1)[-1])}/([^/]+[.]txt)(?:/[^/]+)?$"
+    found = spark.createDataFrame([], "file string, length long")
     try:
-        found = (
-            spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(data_dir)
-            .select(F.element_at(F.split("path", "/"), -1).alias("file"), "length")
-        )
-    except Exception:  # noqa: BLE001 - empty or missing folder
-        found = spark.createDataFrame([], "file string, length long")
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(data_dir)
+        found = listed.select(F.regexp_extract("path", name, 1).alias("file"), "length").groupBy("file").agg(F.sum("length").alias("length"))
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
     present = expected.join(found, "file", "left").withColumn("ok", F.coalesce(F.col("length") > 0, F.lit(False)))
     per_dataset = present.groupBy("dataset").agg(F.min(F.col("ok").cast("int")).cast("boolean").alias("available"), F.count_if("ok").alias("files_present"))
     missing = expected.join(found.filter(F.col("length") > 0), "file", "left_anti")

@@ -7,7 +7,7 @@ from .conftest import SF_SMALL
 ROWS_ONLY = {
     "m1_train_val_split", "m2_m8_forest_batch_predict", "m3_m5_m6_boosted_learning_curve", "m4_sequence_regressor",
     "m7_w10_feature_importance_top", "m9_train_many_tolerate_failure", "m11_model_save_load", "m12_model_registry",
-    "d15_drift_history", "n3_scaler_save_load", "s7_j2_dataset_availability", "s12_json_report_sink",
+    "d15_drift_history", "n3_scaler_save_load", "s12_json_report_sink",
     "x9_stream_features_models_ensemble",
 }
 

@@ -124,3 +124,24 @@ def test_a_newer_pipeline_document_is_refused(spark, f1a, tmp_path):
     spark.createDataFrame([(text.strip(),)], "meta string").coalesce(1).write.mode("overwrite").text(str(tmp_path / "p" / "metadata"))
     with pytest.raises(ValueError, match="version 3"):
         scaling.TelemetryPipelineModel.load(str(tmp_path / "p"))
+
+
+def test_report_document_of_valid_and_failed_models(spark, tmp_path):
+    import json
+
+    inf = float("inf")
+    rows = [("forest", 12.5, 9.0, 0.7, 8.0, None), ("boosted", 11.8, 8.7, 0.8, 7.0, None), ("also", 11.8, 9.1, 0.8, 7.5, None), ("broken", inf, inf, -inf, inf, "no file"), ("empty", None, None, None, None, None)]
+    m = spark.createDataFrame(rows, "model string, rmse double, mae double, r2 double, mape double, error string")
+    from cyclewise.sources import telemetry
+
+    telemetry.write_json_report(evaluate.report_document(m, "FD002", timestamp="2024-01-15T10:30:00"), str(tmp_path / "r"))
+    text = [x["value"] for x in spark.read.text(str(tmp_path / "r")).collect()]
+    doc = json.loads(text[0])
+    assert len(text) == 1 and doc["dataset"] == "FD002" and doc["timestamp"] == "2024-01-15T10:30:00"
+    assert set(doc["models"]) == {"forest", "boosted", "also", "empty"} and doc["models"]["forest"] == {"rmse": 12.5, "mae": 9.0, "r2": 0.7, "mape": 8.0}
+    assert doc["best_model"] == {"name": "also", "metric": "rmse", "value": 11.8}
+    assert doc["summary"] == {"total_models_evaluated": 5, "successful_evaluations": 4}
+    bad = evaluate.report_document(m.filter("model = 'broken'")).first()
+    assert bad["models"] == {} and bad["best_model"] is None and bad["summary"].asDict() == {"total_models_evaluated": 1, "successful_evaluations": 0}
+    none = evaluate.report_document(m.filter("false")).first()
+    assert none["models"] == {} and none["best_model"] is None and none["summary"]["total_models_evaluated"] == 0

@@ -141,6 +141,44 @@ def test_line_index_across_many_partitions(spark, tmp_path):
     assert [r["rul"] for r in rul] == vals
 
 
+def test_line_index_over_a_folder_of_cut_files(spark, tmp_path):
+    """Files of very different sizes, each cut into splits; Spark packs the splits in an order of its own."""
+    d = tmp_path / "RUL_FD003.txt"
+    d.mkdir()
+    vals = []
+    for i, n in enumerate((3, 400, 1, 90, 0, 250)):
+        mine = [1000 * i + k for k in range(n)]
+        vals += mine
+        (d / f"part-0000{i}.txt").write_text("".join(f" {v} \n" + ("\n" if v % 7 == 0 else "") for v in mine))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        rul = telemetry.read_rul(spark, str(d)).orderBy("unit_id").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert [(x["unit_id"], x["rul"]) for x in rul] == list(enumerate(vals, 1))
+
+
+def test_rul_round_trip_and_folders_as_files(spark, tmp_path):
+    units = spark.range(1, 501).select(F.col("id").alias("unit_id"), (F.col("id") * 3 % 101).alias("rul"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        telemetry.write_rul(units.repartition(7), str(tmp_path / "RUL_FD001.txt"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "RUL_FD001.txt").glob("part-*"))) > 1
+    back = telemetry.read_rul(spark, str(tmp_path / "RUL_FD001.txt")).orderBy("unit_id").collect()
+    assert [(x["unit_id"], x["rul"]) for x in back] == [(i, i * 3 % 101) for i in range(1, 501)]
+    (tmp_path / "train_FD001.txt").write_text("1 1 0.5\n")
+    (tmp_path / "test_FD001.txt").write_text("")
+    per, missing = telemetry.availability(spark, str(tmp_path))
+    assert {x["dataset"]: (x["available"], x["files_present"]) for x in per.collect()} == {"FD001": (False, 2), "FD002": (False, 0), "FD003": (False, 0), "FD004": (False, 0)}
+    assert "test_FD001.txt" in {x["file"] for x in missing.collect()} and missing.count() == 10
+    (tmp_path / "none").mkdir()
+    assert telemetry.availability(spark, str(tmp_path / "none"))[1].count() == 12
+    assert telemetry.availability(spark, str(tmp_path / "absent"))[1].count() == 12
+
+
 def _scorer(spark, t, channels):
     from cyclewise.streaming import scoring
 
