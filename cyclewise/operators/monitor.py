@@ -270,6 +270,13 @@ def evaluation_grid(df: DataFrame, labels: Sequence[str], slide_s: int = 30, wid
     return g.withColumn("window_start", F.timestamp_seconds(F.col("_start") * F.lit(slide_s)).cast("timestamp_ntz")).drop("_start")
 
 
+def ratios_of_one(df: DataFrame, keys: Sequence[str], ratios: dict[str, tuple[str, str]]) -> DataFrame:
+    """J3 / O19 where both sides are columns of one table: out -> (value, limit), all as one aggregate.
+
+    Nothing is joined; a label set without a limit (null or zero in sum) has a null ratio."""
+    return df.groupBy(*keys).agg(*[F.try_divide(F.sum(v), F.sum(limit)).alias(out) for out, (v, limit) in ratios.items()])
+
+
 def ratio_by_labels(a: DataFrame, b: DataFrame, keys: Sequence[str], a_val: str, b_val: str, out: str = "ratio") -> DataFrame:
     """Sum by(keys) A / sum by(keys) B, matched on the label set."""
     sa = a.groupBy(*keys).agg(F.sum(a_val).alias("_a"))

@@ -323,9 +323,7 @@ def q_o19(spark, sf_dir):
         F.col("l_suppkey").alias("entity"), (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("used"),
         F.col("l_extendedprice").alias("limit"), (F.col("l_extendedprice") * F.col("l_discount")).alias("idle"),
     )
-    ratio = monitor.ratio_by_labels(li, li, ["entity"], "used", "limit")
-    idle = monitor.ratio_by_labels(li, li, ["entity"], "idle", "limit", "idle_share")
-    j = ratio.join(idle, "entity")
+    j = monitor.ratios_of_one(li, ["entity"], {"ratio": ("used", "limit"), "idle_share": ("idle", "limit")})
     return j.select("entity", F.round("ratio", 6).alias("ratio"), (F.col("ratio") > monitor.UTILISATION_LIMIT).alias("over_limit"),
                     F.round(F.lit(100.0) * (F.lit(1.0) - F.col("idle_share")), 4).alias("utilisation_pct"))
 

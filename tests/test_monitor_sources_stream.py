@@ -141,6 +141,15 @@ def test_line_index_across_many_partitions(spark, tmp_path):
     assert [r["rul"] for r in rul] == vals
 
 
+def test_ratios_of_one_table_equal_the_joined_form(spark):
+    rows = [("a", 1.0, 2.0), ("a", 3.0, 6.0), ("b", 5.0, 0.0), ("c", None, 4.0), ("c", 1.0, None), (None, 2.0, 8.0)]
+    df = spark.createDataFrame(rows, "entity string, used double, cap double")
+    one = {r["entity"]: r["ratio"] for r in monitor.ratios_of_one(df, ["entity"], {"ratio": ("used", "cap")}).collect()}
+    assert one == {"a": 0.5, "b": None, "c": 0.25, None: 0.25}
+    two = {r["entity"]: r["ratio"] for r in monitor.ratio_by_labels(df, df, ["entity"], "used", "cap").collect()}
+    assert two == {k: v for k, v in one.items() if k is not None}
+
+
 def test_line_index_over_a_folder_of_cut_files(spark, tmp_path):
     """Files of very different sizes, each cut into splits; Spark packs the splits in an order of its own."""
     d = tmp_path / "RUL_FD003.txt"
