@@ -57,3 +57,23 @@ def test_generated_methods_of_features_stay_short_enough_to_be_compiled(spark):
     windows.add_features(_readings(spark), ["a"])
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "12000"
     spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+
+
+def test_encoding_holds_a_few_megabytes_of_text_at_a_time():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from cyclewise.llm import rans
+    from cyclewise.llm.queries import byte_tokenizer
+
+    words = [f"w{i % 997}" for i in range(200_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(14)), pa.array([" ".join(words)] * 14)], ["id", "text"])
+    run = rans._tokenise(byte_tokenizer())
+    list(run(iter([batch.slice(0, 1)])))  # the library and the units
+    tracemalloc.start()
+    for _ in run(iter([batch])):
+        pass
+    peak = tracemalloc.get_traced_memory()[1] >> 20
+    tracemalloc.stop()
+    assert peak < 170
