@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import alerts, decide, drift, monitor, windows
 from ..operators.scan import exact_quantiles
+from ..session import cut_lineage
 from ..sources import tables
 from .registry import present, r, register
 from .sqlviews import DRIFT_LONG, PREDICTION_LOG, with_
@@ -437,14 +441,14 @@ def alert_series(spark, sf_dir):
     pods = ev.withColumn("pod", F.concat(F.lit("pod-"), F.pmod(F.col("user_id"), F.lit(5)).cast("string"))).withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
     cpu = monitor.sliding_counts(pods, ["pod"], sums=["value"])
     hooks = decide.parse_drift_events(tables.drift_webhooks(spark, sf_dir))
-    hooks = hooks.filter("event.drift_score IS NOT NULL").select("event_id", "ts", "event.*")
+    hooks = cut_lineage(hooks.filter("event.drift_score IS NOT NULL").select("event_id", "ts", "event.*"))  # three gauges read the parsed bodies
     flag = F.when(F.col("drift_score") >= 0.25, 1).otherwise(0)
     state = F.when(F.col("event_type") == "error", 0).otherwise(1)
     model = alerts.labels_of(model_name=F.col("model_name"))
     feature = alerts.labels_of(feature=F.element_at("features_affected", 1), model_name=F.col("model_name"))
     pod = alerts.labels_of(pod=F.col("pod"))
-    gauge = lambda df, name, labels, value: alerts.gauge_series(df, name, labels, value, "ts", "event_id", end)
-    parts = [
+    gauge = lambda df, name, labels, value: alerts.gauge_samples(df, name, labels, value, "ts", "event_id")
+    windows = [
         alerts.window_series(er, "error_ratio", by_model, F.col("error_ratio"), 30),
         alerts.window_series(hq, "latency_p95", by_model, F.col("p95"), 30), alerts.window_series(hq, "latency_p99", by_model, F.col("p99"), 30),
         alerts.window_series(quiet, "request_rate", by_model, F.coalesce("n", F.lit(0)), 30),
@@ -452,16 +456,15 @@ def alert_series(spark, sf_dir):
         alerts.window_series(wide, "scale_up", none, F.when((mean > monitor.SCALE_LATENCY) & (rate > monitor.SCALE_LATENCY_RATE), 1).otherwise(0), 30),
         alerts.window_series(hour, "success_share_1h", none, F.col("ok") / F.col("n"), 300),
         alerts.window_series(cpu, "cpu_share", pod, F.col("sum_value") / 300.0, 30),
+    ]
+    gauges = [
         gauge(hooks.filter("drift_type = 'psi'"), "drift_psi", feature, F.col("drift_score")),
         gauge(hooks.filter("drift_type = 'concept'"), "concept_drift", model, flag), gauge(hooks.filter("drift_type = 'prediction'"), "prediction_drift", model, flag),
         gauge(ev, "rul", alerts.labels_of(unit_id=F.col("user_id")), F.col("value")),
         gauge(pods, "ready", pod, state), gauge(pods, "memory_share", pod, F.col("value") / 100.0),
         gauge(pods.filter("k % 5 = 0"), "up", alerts.labels_of(job=F.lit("tracking")), state),
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, [*windows, alerts.hold(reduce(DataFrame.unionByName, gauges), end)])
 
 
 @register("o11_alert_rules_all_families", ALL_FAMILIES_SQL)

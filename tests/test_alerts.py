@@ -47,3 +47,50 @@ def test_every_rule_has_a_series(spark):
 
     have = {r["metric"] for r in alert_series(spark, SF_SMALL).select("metric").distinct().collect()}
     assert {m for _, m, *_ in alerts.RULES} == have and len(alerts.RULES) == 19
+
+
+def test_series_cut_into_many_ranges_give_whole_islands(spark):
+    """Islands and gauges over range borders, several gauges in one scan, against a plain pass in Python."""
+    import random
+
+    r = random.Random(3)
+    at = pd.Timestamp("1970-01-01")
+    rows = [(r.choice(["a", "b", None]), i, at + pd.Timedelta(seconds=r.randrange(3000)), float(r.choice([1, 1, 1, 9]))) for i in range(900)]
+    df = spark.createDataFrame(pd.DataFrame(rows, columns=["unit", "id", "ts", "value"])).repartition(5)
+    labels = alerts.labels_of(unit_id=F.col("unit"))
+    gauges = [alerts.gauge_samples(df, m, labels, F.col("value") * k, "ts", "id") for m, k in (("one", 1.0), ("two", 9.0))]
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small ranges stay apart
+    try:
+        series = alerts.hold(gauges[0].unionByName(gauges[1]), F.lit(3000 * S))
+        got = _fired(spark, series, [("Low", "one", "<", 5.0, 20, "info"), ("High", "two", ">", 10.0, 5, "info")])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    want = []
+    for unit in ("a", "b", None):
+        mine = sorted((int((t - at).total_seconds()), i, v) for u, i, t, v in rows if u == unit)
+        held = [(s, e, v) for (s, _, v), e in zip(mine, [x[0] for x in mine[1:]] + [3000]) if e > s]
+        for rule, least, true in (("Low", 20, lambda v: v < 5), ("High", 5, lambda v: v * 9 > 10)):
+            islands: list = []
+            for s, e, v in held:
+                if true(v) and islands and islands[-1][1] == s:
+                    islands[-1][1] = e
+                elif true(v):
+                    islands.append([s, e])
+            want += [(rule, f"unit_id={unit}" if unit else "", s, e, s + least) for s, e in islands if e - s > least]
+    assert got == sorted(want) and len(got) > 20
+
+
+def test_true_intervals_are_computed_once(spark):
+    """A series of any cost is read once by ``evaluate``: what it calls is counted."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(50).selectExpr("'m' AS metric", "map('a', '1') AS labels", "id * 30 AS since", "id * 30 + 30 AS until", "5.0D AS value")
+    series = df.mapInArrow(count, df.schema)
+    assert len(_fired(spark, series, [("R", "m", ">", 1.0, 0, "warning")])) == 1
+    assert seen.value == 50
