@@ -176,3 +176,19 @@ def test_nearest_visits_a_falling_share():
             few = np.arange(len(at))[:500]
             assert np.allclose(index.pairs(qa, xa, at[few], of[few], t), index.costs(qa, index.cells(xa, t), t)[at[few], of[few]])
     assert shares[1] < 0.6 * shares[0]
+
+
+def test_pieces_merge_few_words_at_a_time(monkeypatch):
+    import public_tokenizers
+    import pyarrow as pa
+
+    from cyclewise.llm import pieces
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    sizes, spell = [], pieces.Model.spell
+    monkeypatch.setattr(pieces.Model, "spell", lambda m, words: sizes.append(sum(map(len, words))) or spell(m, words))
+    texts = [" ".join(f"w{i}x{j}" for j in range(3000)) for i in range(20)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(20)), pa.array(texts)], ["row", "text"])
+    got = [r for b in pieces._encode(path)(iter([batch])) for r in b.to_pylist()]
+    assert max(sizes) <= 150_000 and sum(sizes) > 400_000  # the arrays of a merge grow with these characters
+    assert [r["decoded"] for r in got] == texts
