@@ -77,3 +77,18 @@ def test_encoding_holds_a_few_megabytes_of_text_at_a_time():
     peak = tracemalloc.get_traced_memory()[1] >> 20
     tracemalloc.stop()
     assert peak < 170
+
+
+def test_all_null_columns_are_settled_by_the_first_rows_or_by_all(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from cyclewise.operators import profiling
+
+    df = spark.range(0, 5000, numPartitions=3).select(
+        "id", F.lit(None).cast("int").alias("never"), F.when(F.col("id") == 4999, 1).alias("last"), F.when(F.col("id") == 2, 1).alias("early"))
+    passes, agg = [], type(df).agg
+    monkeypatch.setattr(type(df), "agg", lambda d, *c: passes.append(len(c)) or agg(d, *c))
+    assert profiling.drop_all_null_columns(df).columns == ["id", "last", "early"] and passes == [2]
+    passes.clear()
+    assert profiling.drop_all_null_columns(df.select("id", "early")).columns == ["id", "early"] and not passes
+    assert profiling.drop_all_null_columns(df.filter("false")).columns == []
