@@ -231,6 +231,13 @@ def test_a_copy_deletes_nothing_and_shared_article_lines_stay(spark):
     assert {got[i] for i in range(4)} == {"same\ntext"} and got[11] == "License\nown 1"
 
 
+def test_plain_lines_beside_an_article_are_differenced(spark):
+    rows = [(i, f"http://a.example.com/{i}", f"<div>Site</div><div>Note {i}</div><article><p>Quote</p><p>own {i}</p></article><div>Share</div><footer>F {i}</footer>") for i in range(5)]
+    rows += [(9, "http://alone.example.com/", "<div>Site</div><main>text</main>"), (10 ** 6, None, "<div>Site</div><main>no host</main><p>after</p>")]
+    got = {x["page_id"]: x["text"] for x in html.main_text(_pages(spark, rows)).collect()}
+    assert got == {i: f"Note {i}\nQuote\nown {i}" for i in range(5)} | {9: "text", 10 ** 6: "no host"}
+
+
 def _lcs(a, b):
     t = np.zeros((len(a) + 1, len(b) + 1), int)
     for i, x in enumerate(a):
